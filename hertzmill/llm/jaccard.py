@@ -6,8 +6,8 @@
    gives right results: a better one only gives fewer candidates.
 2. Each text becomes an ordered set. Equal sets collapse to one representative.
 3. Sets that meet the threshold share an n-gram in their prefixes. Representatives that
-   share one, whose sizes are compatible and whose 512-bit parity maps do not already
-   prove too large a difference, are joined to clusters (a superset of the answer).
+   share one, whose sizes are compatible and whose parity maps (as many bits as elements)
+   do not already prove too large a difference, are joined to clusters (a superset of the answer).
 4. In a cluster the ordered sets are stored in a path-compressed trie; each set walks it
    once, sharing the overlap of common paths, and leaves a subtree as soon as overlap so
    far plus what can still come is below what the lengths in it require. Overlaps are
@@ -32,7 +32,7 @@ from .common import connected_components, discard, materialize, runs, shingle_ha
 BUCKET_BITS = 17
 _LOW = np.uint64(64 - BUCKET_BITS)
 _SIGN = np.uint64(1 << 63)
-MAP_BITS = 512
+LEAST_MAP_BITS = 512
 TOKEN_BLOCK = 4096
 CLUSTER_BLOCK = 512
 
@@ -96,8 +96,17 @@ def _ordered(s: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 
 
 def _parity_map(s: np.ndarray) -> bytes:
-    bit = ((s * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(55)).astype(np.int64)
-    return np.packbits((np.bincount(bit, minlength=MAP_BITS) & 1).astype(np.uint8)).tobytes()
+    """Parity of the elements by hash slot. Two maps differ in at most as many bits as the sets do."""
+    bits = max(LEAST_MAP_BITS, 1 << (len(s) - 1).bit_length())
+    slot = ((s * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.int64) & (bits - 1)
+    return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _fold(m: np.ndarray, words: int) -> np.ndarray:
+    """The map of the same set with fewer bits."""
+    while len(m) > words:
+        m = m[: len(m) // 2] ^ m[len(m) // 2 :]
+    return m
 
 
 def _describe(n: int, percent: int, ranks_of):
@@ -149,16 +158,21 @@ def _candidates(percent: int):
         left, right = [], []
         for run in runs(batches, "key"):
             ids, n = run["rep"].to_numpy(), run["n"].to_numpy()
-            maps = np.frombuffer(b"".join(run["map"].to_pylist()), np.uint64).reshape(len(ids), MAP_BITS // 64)
+            maps = [np.frombuffer(x, np.uint64) for x in run["map"].to_pylist()]
+            width = np.array([len(x) for x in maps])
+            step = np.flatnonzero(np.r_[True, width[1:] != width[:-1], True])  # sizes ascend, so widths do
+            levels = [(int(a), int(b), np.stack(maps[a:b])) for a, b in zip(step[:-1], step[1:], strict=True)]
             sets = _Union() if len(ids) > 8 else None
             for j in range(1, len(ids)):
                 i = int(np.searchsorted(n[:j], -(-percent * n[j] // 100)))
-                if i == j:
-                    continue
-                differ = np.bitwise_count(maps[i:j] ^ maps[j]).sum(axis=1)
-                both = n[i:j] + n[j]
-                hits = i + np.flatnonzero(differ <= both - 2 * -(-percent * both // (100 + percent)))
-                for h in hits.tolist():
+                hits: list = []
+                for a, b, level in levels:
+                    lo, hi = max(a, i), min(b, j)
+                    if lo < hi:
+                        differ = np.bitwise_count(level[lo - a : hi - a] ^ _fold(maps[j], level.shape[1])).sum(axis=1)
+                        both = n[lo:hi] + n[j]
+                        hits += (lo + np.flatnonzero(differ <= both - 2 * -(-percent * both // (100 + percent)))).tolist()
+                for h in hits:
                     if ids[h] != ids[j] and (sets is None or sets.join(int(ids[h]), int(ids[j]))):
                         left.append(int(ids[h]))
                         right.append(int(ids[j]))

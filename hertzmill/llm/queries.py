@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard import jaccard_components
+from .mixing import mix
+from .packing import pack
 from .quality import judge
 
 
@@ -20,6 +22,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("posterior", 6).alias("posterior"), "votes")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
@@ -28,5 +40,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
+ORACLES = {
+    "op6_mixing": r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^ \t-\r]+')), 0) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS z FROM d GROUP BY source),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+o AS (SELECT *, COALESCE(sum(2.0 * z) OVER before, 0) AS capped, sum(weight) OVER () - COALESCE(sum(weight) OVER before, 0) AS rest
+      FROM w WINDOW before AS (ORDER BY 2.0 * z / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+r AS (SELECT *, (1.5 * (SELECT sum(z) FROM s) - capped) / rest AS rate FROM o),
+f AS (SELECT min(CASE WHEN 2.0 * z > rate * weight THEN rate END) AS rate FROM r),
+t AS (SELECT source, z, CASE WHEN 2.0 * z <= r.rate * weight THEN CAST(2.0 * z AS DOUBLE) ELSE CAST(f.rate * weight AS DOUBLE) END AS target FROM r, f),
+k AS (SELECT *, CASE WHEN z > 0 THEN CAST(floor(target / z) AS BIGINT) ELSE 0 END AS times FROM t),
+c AS (SELECT d.doc_id, d.size, k.z, k.target, k.times, k.target - k.times * k.z AS budget,
+             sum(d.size) OVER (PARTITION BY d.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+             sum(d.size) OVER (PARTITION BY d.source, h) AS own
+      FROM d JOIN k ON d.source IS NOT DISTINCT FROM k.source)
+SELECT doc_id, size, z AS source_size, target, CAST(size * (times + CASE WHEN budget - (upto - own) >= own / 2 THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM c
+""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import format_conversations, read_back
 from .jaccard import jaccard_components
 from .mixing import mix
 from .packing import pack
 from .quality import judge
+from .warc import round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +30,20 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    back = read_back(format_conversations(rows))
+    learnt = F.array_join(F.transform(F.filter("turns", lambda x: x["loss"]), lambda x: x["text"]), "")
+    told_back = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told_back, 256).alias("turns_sha256"),
+        F.length(learnt).cast("long").alias("loss_chars"), F.sha2(learnt, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,11 +52,26 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 ORACLES = {
+    "op5_chat_format": r"""
+WITH c AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f AS (SELECT *, '### ' || CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant' ELSE role END || ': '
+             || replace(replace(replace(text, '\', '\\'), '#', '\h'), '<', '\l') || '</turn>' || chr(10) AS shown FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(COALESCE(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(shown)) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+""",
     "op6_mixing": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^ \t-\r]+')), 0) AS BIGINT) AS size,
@@ -50,8 +81,8 @@ w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WH
 o AS (SELECT *, COALESCE(sum(2.0 * z) OVER before, 0) AS capped, sum(weight) OVER () - COALESCE(sum(weight) OVER before, 0) AS rest
       FROM w WINDOW before AS (ORDER BY 2.0 * z / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 r AS (SELECT *, (1.5 * (SELECT sum(z) FROM s) - capped) / rest AS rate FROM o),
-f AS (SELECT min(CASE WHEN 2.0 * z > rate * weight THEN rate END) AS rate FROM r),
-t AS (SELECT source, z, CASE WHEN 2.0 * z <= r.rate * weight THEN CAST(2.0 * z AS DOUBLE) ELSE CAST(f.rate * weight AS DOUBLE) END AS target FROM r, f),
+f AS (SELECT arg_min(rate, 2.0 * z / weight) FILTER (2.0 * z > rate * weight) AS rate FROM r),
+t AS (SELECT source, z, CASE WHEN 2.0 * z <= f.rate * weight THEN CAST(2.0 * z AS DOUBLE) ELSE CAST(f.rate * weight AS DOUBLE) END AS target FROM r, f),
 k AS (SELECT *, CASE WHEN z > 0 THEN CAST(floor(target / z) AS BIGINT) ELSE 0 END AS times FROM t),
 c AS (SELECT d.doc_id, d.size, k.z, k.target, k.times, k.target - k.times * k.z AS budget,
              sum(d.size) OVER (PARTITION BY d.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
@@ -61,6 +92,13 @@ SELECT doc_id, size, z AS source_size, target, CAST(size * (times + CASE WHEN bu
 """,
 }
 
+ORACLES["op9_warc"] = """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS html, strlen(COALESCE(html, '')) AS n, sha1(COALESCE(html, '')) AS h FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to FROM m
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

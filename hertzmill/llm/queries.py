@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import format_conversations, read_back
 from .jaccard import jaccard_components
+from .language import fit, identify
 from .mixing import mix
 from .packing import pack
 from .quality import judge
@@ -30,6 +31,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out).select("doc_id", "text", "lang").dropna())
+    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], "conv_id long, turn long, role string, text string")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import format_conversations, read_back
+from .embeddings import near_duplicates
+from .html import extract
 from .jaccard import jaccard_components
 from .language import fit, identify
 from .mixing import mix
@@ -38,6 +40,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
@@ -56,6 +62,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 

@@ -107,6 +107,29 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+MOST_SLOTS = 1 << 24
+
+
+def likely_in(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows of df whose key may be among ids; a few others may stay. Shrinks what a join shuffles.
+
+    A bit map over hash slots, about eight slots an id, is broadcast as words of 64 bits:
+    at most 2^18 rows whatever the number of ids. Null keys go.
+    """
+    slots = 1 << 16
+    n = ids.count()
+    while slots < min(8 * n, MOST_SLOTS):
+        slots *= 2
+
+    def slot(c: str):
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(slots))
+
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.col("_slot"), F.lit(64)).cast("int"))
+    words = ids.where(F.col(id_col).isNotNull()).select(slot(id_col).alias("_slot")).groupBy(F.floor(F.col("_slot") / 64).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    tested = df.where(F.col(key).isNotNull()).withColumn("_slot", slot(key)).withColumn("_word", F.floor(F.col("_slot") / 64))
+    return tested.join(F.broadcast(words), "_word").where(F.col("_bits").bitwiseAND(bit) != 0).drop("_slot", "_word", "_bits")
+
+
 # ------------------------------------------------------------------------ whole texts
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1

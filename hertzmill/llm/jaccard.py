@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, materialize, runs, shingle_hashes, texts_in_slices
+from .common import connected_components, discard, likely_in, materialize, runs, shingle_hashes, texts_in_slices
 
 BUCKET_BITS = 17
 _LOW = np.uint64(64 - BUCKET_BITS)
@@ -315,7 +315,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     clusters = connected_components(edges, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
     clusters = materialize(clusters.join(sizes, "cluster").select("rep", "cluster", _block_keys(F.col("cluster"), F.col("size"), F.col("rep"), CLUSTER_BLOCK).alias("blocks")), "clusters")
-    grams = docs.withColumnRenamed("doc_id", "rep").join(clusters, "rep").mapInArrow(_grams(n, ranks_of), "rep long, cluster long, blocks array<long>, grams binary")
+    grams = likely_in(docs, "doc_id", clusters, "rep").withColumnRenamed("doc_id", "rep").join(clusters, "rep").mapInArrow(_grams(n, ranks_of), "rep long, cluster long, blocks array<long>, grams binary")
     pairs = grams.where("grams is not null").select("rep", F.explode("blocks").alias("key"), "grams").repartition("key").sortWithinPartitions("key")
     links = materialize(pairs.mapInArrow(_verified(percent), "a long, b long"), "links")
     found = connected_components(links, "a", "b").select(F.col("node").alias("rep"), "component")

@@ -14,6 +14,7 @@ from .jaccard import jaccard_components
 from .language import fit, identify
 from .mixing import mix
 from .packing import pack
+from .passages import repeated_passages
 from .quality import judge
 from .warc import round_trip
 
@@ -74,6 +75,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

@@ -325,3 +325,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     )
     discard(edges)
     return out
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that carry their component's smallest doc_id, all columns as they were.
+
+    A row whose doc_id is null stays unless its set equals that of a row with an id.
+    """
+    linked = jaccard_components(docs, n, percent).where("component_id is not null and not component_id <=> doc_id").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(linked, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")

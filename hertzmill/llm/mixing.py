@@ -67,6 +67,28 @@ def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return state
 
 
+def mixing_plan(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: float = 2.0) -> tuple[DataFrame, DataFrame]:
+    """(rows, plan). rows: doc_id, source, size and hash of every row of docs, a scratch table.
+
+    plan, one row a source: s, source_size, target, times (whole rounds that every row is
+    taken) and below (rows with a smaller hash are taken once more; null: none).
+    The driver holds one number for each source.
+    """
+    words, h = word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id")).alias("hash")
+    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words, h), "sizes")
+    sizes = {r["source"]: r["size"] for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()}
+    target = shares(sizes, weights, amount, most)
+    plan = docs.sparkSession.createDataFrame(
+        [(s, sizes[s], float(t), int(t // sizes[s]) if sizes[s] else 0) for s, t in target.items()], "source string, source_size long, target double, times long"
+    )
+    below = _thresholds(rows, plan.where("source_size > 0").select("source", (F.col("target") - F.col("times") * F.col("source_size")).alias("budget")))
+    return rows, plan.join(below, plan["source"].eqNullSafe(below["s"]), "left").drop("s").withColumnRenamed("source", "s")
+
+
+def _copies(hashed: Column) -> Column:
+    return F.col("times") + F.coalesce(hashed < F.col("below"), F.lit(False)).cast("long")
+
+
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: float = 2.0) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken of every row.
 
@@ -75,19 +97,19 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: fl
     Hashes come from doc_id, so reruns agree and equal ids stand or fall together.
     A null source is a source of its own; a source without words takes nothing. Only
     doc_id, source and text are read. No rows: no rows.
-    The driver holds one number for each source.
     """
-    words, h = word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id")).alias("hash")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words, h)
-    base = materialize(base, "sizes")
-    sizes = {r["source"]: r["size"] for r in base.groupBy("source").agg(F.sum("size").alias("size")).collect()}
-    target = shares(sizes, weights, amount, most)
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(
-        [(s, sizes[s], float(t), int(t // sizes[s]) if sizes[s] else 0) for s, t in target.items()], "source string, source_size long, target double, times long"
-    )
-    below = _thresholds(base, plan.where("source_size > 0").select("source", (F.col("target") - F.col("times") * F.col("source_size")).alias("budget")))
-    plan = plan.join(below, plan["source"].eqNullSafe(below["s"]), "left").drop("s").withColumnRenamed("source", "s")
-    out = base.join(F.broadcast(plan), base["source"].eqNullSafe(plan["s"]), "left").drop("s")  # one row a source
-    copies = F.col("times") + F.coalesce(F.col("hash") < F.col("below"), F.lit(False)).cast("long")
+    rows, plan = mixing_plan(docs, weights, amount, most)
+    out = rows.join(F.broadcast(plan), rows["source"].eqNullSafe(plan["s"]), "left")  # one row a source
+    copies = _copies(F.col("hash"))
     return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The rows of docs as often as the mix takes them, all columns as they were."""
+    _, plan = mixing_plan(docs, weights, amount, most)
+    plan = plan.select("s", "times", "below")
+    clash = {c: f"_{c}" for c in ("s", "times", "below")}
+    plan = F.broadcast(plan.withColumnsRenamed(clash))
+    copies = F.col("_times") + F.coalesce(row_hash(F.col("doc_id")) < F.col("_below"), F.lit(False)).cast("long")
+    repeated = docs.join(plan, docs["source"].eqNullSafe(F.col("_s")), "left").where(copies > 0)
+    return repeated.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("_copy")).drop("_copy")

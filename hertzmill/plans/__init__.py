@@ -1,0 +1 @@
+"""Join plans for half-open integer intervals."""

@@ -471,7 +471,7 @@ def _(t):
 
 #: Assigned cells: every fourth a rule part, every seventh a spill without a range.
 ASSIGNED = """
-SELECT p_partkey % 20 AS doc_id, CAST(p_size AS BIGINT) AS table_index, p_partkey AS row_index, 0 AS cell_index, 'MHz' AS unit,
+SELECT p_partkey % 19 AS doc_id, CAST(p_size AS BIGINT) AS table_index, p_partkey AS row_index, 0 AS cell_index, 'MHz' AS unit,
   CASE WHEN p_partkey % 4 = 0 THEN 'fcc_parts' WHEN p_partkey % 4 = 1 THEN 'us_federal' WHEN p_partkey % 4 = 2 THEN 'us_non_federal' ELSE 'itu_r1' END AS col,
   CASE WHEN p_partkey % 4 = 0 THEN CONCAT('Land', CHR(10), 'mobile (', CAST(p_size AS VARCHAR(20)), CASE WHEN p_size % 3 = 0 THEN 'D' ELSE '' END, ')')
        WHEN p_partkey % 7 = 0 THEN CONCAT(UPPER(p_name), CHR(10), '5.', CAST(p_partkey % 5 AS VARCHAR(20)))

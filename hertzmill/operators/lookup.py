@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hertz import jurisdictions
-from ..plans.intervals import next_edge, point_join, segment_lookup, segments, span_join
+from ..plans.intervals import MANY, cut, highest_edge, least_in, point_join, segment_lookup, span_join
 
 NO_RECORD = "No allocation on record"
 NO_TEXT = "(not reproduced in the FCC source document)"
@@ -150,16 +150,18 @@ def _rank_key(item: str, *shown: Column) -> Column:
 
 def summary_segments(channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
     """Disjoint segments with the tooltip text of every point in them: L14 moved to the static side."""
-    named = segments(channels, _rank_key("id", F.col("name").alias("name"))).select("s_lo", "s_hi", F.col("value.name").alias("channel"))
     us = bands.where(F.col("jurisdiction").startswith("us")).join(services_label(services), "band_id", "left")
     order = F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), F.col("lo_hz").alias("lo"), F.col("hi_hz").alias("hi"), F.col("band_id").alias("item"), F.col("label").alias("label"))
-    listed = segments(us, order).select("s_lo", "s_hi", F.col("value.label").alias("label"))
-    # cut both tilings at each other's edges: a point in either starts one, so each fine segment starts in one of each
-    starts = named.select("s_lo").unionByName(listed.select("s_lo")).distinct()
-    fine = next_edge(starts, []).select(F.col("s_lo").alias("f_lo"), F.col("s_hi").alias("f_hi"))
-    both = segment_lookup(segment_lookup(fine, named, "f_lo"), listed, "f_lo")
-    text = F.coalesce("channel", F.when(F.col("label") != "", F.col("label")), F.lit(NO_RECORD))
-    return both.select(F.col("f_lo").alias("s_lo"), F.col("f_hi").alias("s_hi"), text.alias("summary"))
+    tiles = least_in(cut(channels, us), channels, _rank_key("id", F.col("name").alias("name")), "channel")
+    tiles = least_in(tiles, us, order, "band")
+    text = F.coalesce("channel.name", F.when(F.col("band.label") != "", F.col("band.label")), F.lit(NO_RECORD))
+    return tiles.select("s_lo", "s_hi", text.alias("summary"))
+
+
+def with_summaries(sightings: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
+    """The columns of sightings, a stream or not, and each one's summary, by segments."""
+    few = 2 * (channels.count() + bands.count()) + 1 <= MANY
+    return segment_lookup(sightings, summary_segments(channels, bands, services), highest_edge(channels, bands), few)
 
 
 def summary(sightings: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame, how: str = "segments") -> DataFrame:
@@ -170,7 +172,7 @@ def summary(sightings: DataFrame, channels: DataFrame, bands: DataFrame, service
     how: segments (no shuffle of sightings, no ranking), or a plan of point_join.
     """
     if how == "segments":
-        return segment_lookup(sightings, summary_segments(channels, bands, services)).select("sighting_id", "summary")
+        return with_summaries(sightings, channels, bands, services).select("sighting_id", "summary")
     points = sightings.select("sighting_id", "hz")
     best = top_n(channels_at(points, channels.select("id", "name", "lo_hz", "hi_hz"), how), "sighting_id", "id", 1).select("sighting_id", "name")
     us = bands.where(F.col("jurisdiction").startswith("us")).select("band_id", "lo_hz", "hi_hz")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 #: Intervals up to which a nested loop against a broadcast is used.
 FEW = 1000
-#: Disjoint segments up to which the lookup side of ``segments`` is broadcast.
+#: Segments up to which the lookup side of ``segments`` is broadcast.
 MANY = 500_000
 TOP = (1 << 63) - 1
 
@@ -90,53 +90,62 @@ def overlap_join(probes: DataFrame, intervals: DataFrame, how: str | None = None
     return point_join(probes, intervals, how=how) if "hz" in probes.columns else span_join(probes, intervals, how)
 
 
-def segments(intervals: DataFrame, value: Column, by: list[str] = ()) -> DataFrame:
-    """Disjoint segments [s_lo, s_hi) tiling [0, 2^63 - 1), each with the least value covering it.
+def cut(*layers: DataFrame) -> DataFrame:
+    """Disjoint segments [s_lo, s_hi) that tile [0, 2^63 - 1), cut at all edges of the layers' intervals."""
+    edges = layers[0].sparkSession.range(1).select(F.lit(0).cast("long").alias("s_lo"))
+    for layer in layers:
+        good = layer.where("lo_hz < hi_hz")
+        edges = edges.unionByName(good.select(F.col("lo_hz").alias("s_lo"))).unionByName(good.select(F.col("hi_hz").alias("s_lo")))
+    return next_edge(edges.where("s_lo >= 0").distinct())
 
-    value: a struct that orders the intervals (rank first). Segments that nothing covers
-    have a null value. by: columns that keep separate tilings, for instance a layer.
-    """
-    good = intervals.where("lo_hz < hi_hz")
-    edges = good.select(*by, F.col("lo_hz").alias("s_lo")).union(good.select(*by, F.col("hi_hz")))
-    floor = good.select(*by).distinct().withColumn("s_lo", F.lit(0).cast("long")) if by else good.sparkSession.range(1).select(F.lit(0).cast("long").alias("s_lo"))
-    edges = edges.unionByName(floor).where("s_lo >= 0").distinct()
-    # one row an edge; an unpartitioned window would put all into one task, so neighbours come from a range partitioning
-    tiles = next_edge(edges, list(by))
-    best = good.select(*by, "lo_hz", "hi_hz", value.alias("value"))
-    points = tiles.withColumnsRenamed({c: f"_t_{c}" for c in by})
-    met = point_join(points, best, "s_lo")
-    for c in by:
-        met = met.where(F.col(f"_t_{c}").eqNullSafe(F.col(c)))
-    least = met.groupBy(*[F.col(f"_t_{c}").alias(c) for c in by], "s_lo").agg(F.min("value").alias("value"))
-    return tiles.join(least, [*by, "s_lo"], "left")
-
-
-def next_edge(edges: DataFrame, by: list[str]) -> DataFrame:
+
+#: next_edge() looks for neighbours within so many hertz, then among the parts.
+PART_BITS = 33
+
+
+def next_edge(edges: DataFrame) -> DataFrame:
     """Adds s_hi, the next larger s_lo (TOP at the end), without a window over all rows.
 
-    Rows are dealt by ranges of (by, s_lo); lead works inside a range, and the last row of
-    each range takes the first of the next one, of which there is one a range.
+    lead works inside parts of 8.6 GHz; the last row of a part takes the first one of the
+    next part that has rows, of which there is one row a part.
     """
-    if by:
-        return edges.withColumn("s_hi", F.coalesce(F.lead("s_lo").over(Window.partitionBy(*by).orderBy("s_lo")), F.lit(TOP)))
-    dealt = edges.withColumn("_part", F.floor(F.col("s_lo") / F.lit(1 << 33)))  # 8.6 GHz a part: few parts below 275 GHz
+    dealt = edges.withColumn("_part", _shift(F.col("s_lo"), F.lit(PART_BITS)))
     firsts = dealt.groupBy("_part").agg(F.min("s_lo").alias("_first"))
     following = firsts.withColumn("_after", F.lead("_first").over(Window.orderBy("_part"))).drop("_first")
     inside = dealt.withColumn("s_hi", F.lead("s_lo").over(Window.partitionBy("_part").orderBy("s_lo")))
     return inside.join(following, "_part").select("s_lo", F.coalesce("s_hi", "_after", F.lit(TOP)).alias("s_hi"))
 
 
-def segment_lookup(points: DataFrame, tiles: DataFrame, hz: str = "hz") -> DataFrame:
-    """Each point with its segment's value: an inner equi-join that keeps every point.
+def least_in(tiles: DataFrame, intervals: DataFrame, value: Column, name: str) -> DataFrame:
+    """Adds to each segment the least value among the intervals that cover it, null if none does.
+
+    value: a struct that orders the intervals, rank first.
+    """
+    ranked = intervals.select("lo_hz", "hi_hz", value.alias(name))
+    least = point_join(tiles.select("s_lo"), ranked, "s_lo").groupBy("s_lo").agg(F.min(name).alias(name))
+    return tiles.join(least, "s_lo", "left")
+
+
+#: Cells of equal width that the occupied axis is cut into for the lookup of a point's segment.
+CELL_BITS = 16
+
+
+def highest_edge(*layers: DataFrame) -> int:
+    """Largest high edge of any layer, 0 if there is none."""
+    return max(layer.agg(F.coalesce(F.max("hi_hz"), F.lit(0))).first()[0] for layer in layers)
+
+
+def segment_lookup(points: DataFrame, tiles: DataFrame, top: int, few: bool, hz: str = "hz") -> DataFrame:
+    """Each point with its segment's columns: an inner equi-join on cells that keeps every point.
 
-    Null and negative points get the value of no segment: they are looked up at TOP,
-    in the filler segment above all intervals. The tiles are broadcast if they are few
-    (counted), so points aren't shuffled; else both sides are.
+    top: the highest edge. Points above it, null and negative ones are looked up just
+    there, in the last segment, which nothing covers. few: whether the tiles are known to
+    be few enough to be broadcast (MANY), so that points aren't shuffled.
     """
-    few = tiles.limit(MANY + 1).count() <= MANY
-    table = binned(tiles, "s_lo", "s_hi")
-    present = [F.lit(n) for n in levels(tiles, "s_lo", "s_hi")]
-    at = F.when(F.col(hz) >= 0, F.col(hz)).otherwise(F.lit(TOP - 1))
-    probe = points.withColumn("_at", at).withColumn("_level", F.explode(F.array(*present))).withColumn("_bin", _shift(F.col("_at"), F.col("_level")))
-    met = probe.join(F.broadcast(table) if few else table, ["_level", "_bin"])
-    return met.where((F.col("s_lo") <= F.col("_at")) & (F.col("_at") < F.col("s_hi"))).drop("_level", "_bin", "_at", "s_lo", "s_hi")
+    shift = F.lit(max(0, top.bit_length() - CELL_BITS))
+    last = F.least(F.col("s_hi") - 1, F.lit(top))
+    cells = tiles.where(F.col("s_lo") <= top).withColumn("_cell", F.explode(F.sequence(_shift(F.col("s_lo"), shift), _shift(last, shift))))
+    at = F.when((F.col(hz) >= 0) & (F.col(hz) < top), F.col(hz)).otherwise(F.lit(top).cast("long"))
+    probe = points.withColumn("_at", at).withColumn("_cell", _shift(F.col("_at"), shift))
+    met = probe.join(F.broadcast(cells) if few else cells, "_cell")
+    return met.where((F.col("s_lo") <= F.col("_at")) & (F.col("_at") < F.col("s_hi"))).drop("_cell", "_at", "s_lo", "s_hi")

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.lookup import summary_segments
-from ..plans.intervals import segment_lookup
+from ..operators.lookup import with_summaries
 
 
 def summary_stream(stream: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
@@ -14,4 +13,4 @@ def summary_stream(stream: DataFrame, channels: DataFrame, bands: DataFrame, ser
     Stateless: each point meets exactly one of the disjoint segments, computed once from
     the static tables, so an inner stream-static join keeps every row, in append mode.
     """
-    return segment_lookup(stream, summary_segments(channels, bands, services))
+    return with_summaries(stream, channels, bands, services)

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import connected_components, discard, likely_in, materialize, runs, shingle_hashes, texts_in_slices
@@ -307,9 +307,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         .select(F.col("doc_id").alias("rep"), "n", "prefix", "map"),
         "reps",
     )
-    tokens = reps.select("rep", F.explode("prefix").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("docs")).where("docs > 1")
-    members = tokens.join(shared, "token").select("rep", F.explode(_block_keys(F.col("token"), F.col("docs"), F.col("rep"), TOKEN_BLOCK)).alias("key"))
+    tokens = reps.select("rep", "n", F.explode("prefix").alias("token"))
+    # without a set of compatible size next to it in order of size, a set has none under this token
+    group = Window.partitionBy("token")
+    below, above = F.lag("n").over(group.orderBy("n", "rep")), F.lead("n").over(group.orderBy("n", "rep"))
+    sized = tokens.withColumn("docs", F.count("*").over(group)).withColumn("below", below).withColumn("above", above)
+    near = sized.where((F.col("below") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("above") * percent))
+    members = near.select("rep", F.explode(_block_keys(F.col("token"), F.col("docs"), F.col("rep"), TOKEN_BLOCK)).alias("key"))
     members = members.join(reps.select("rep", "n", "map"), "rep").select("key", "rep", "n", "map")
     edges = materialize(members.repartition("key").sortWithinPartitions("key", "n", "rep").mapInArrow(_candidates(percent), "a long, b long").distinct(), "near")
     clusters = connected_components(edges, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("cluster"))

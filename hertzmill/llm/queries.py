@@ -122,6 +122,14 @@ SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n >= 1000 AND
        CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to FROM m
 """
 
+ORACLES["op4_embedding_neardup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+r AS (SELECT vec_id, vec_id AS seen FROM v UNION SELECT r.vec_id, e.b FROM r JOIN e ON e.a = r.seen),
+c AS (SELECT vec_id, min(seen) AS component_id FROM r GROUP BY vec_id), n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT c.vec_id, COALESCE(n.n, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n ON n.a = c.vec_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

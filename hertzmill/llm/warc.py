@@ -12,10 +12,14 @@ the candidates that the chain reaches; all other pieces are payload.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch_path
+from .common import discard, materialize, scratch_path
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
@@ -72,17 +76,39 @@ def write_warc(pages: DataFrame, path: str) -> None:
     pages.select(record.alias("value")).write.option("lineSep", END).text(path)
 
 
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces in the order of the scan: adds the bytes before each one in its split."""
+    now, total = None, 0
+    for batch in batches:
+        files, splits = (batch[c].to_numpy() for c in ("file", "split"))
+        sizes = pa.compute.binary_length(batch["value"]).to_numpy().astype(np.int64) + len(MAGIC)
+        upto = np.empty(len(sizes), np.int64)
+        cuts = np.r_[0, np.flatnonzero((files[1:] != files[:-1]) | (splits[1:] != splits[:-1])) + 1, len(sizes)]
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if i == j:
+                continue
+            if (files[i], splits[i]) != now:
+                now, total = (files[i], splits[i]), 0
+            sums = np.cumsum(sizes[i:j])
+            upto[i:j] = total + sums - sizes[i:j]
+            total += int(sums[-1])
+        yield pa.RecordBatch.from_arrays([batch["file"], batch["split"], pa.array(upto), batch["value"]], ["file", "split", "upto", "value"])
+
+
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """file, at (byte offset of the piece, without its magic) and value of every piece, empty first ones included."""
+    """file, at (byte offset of the piece's magic) and value of every piece; file is a hash of the path.
+
+    Read from the archives whenever it is used: no copy of the payloads is kept.
+    """
     raw = spark.read.option("lineSep", MAGIC).text(path)
-    raw = raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
-    raw = raw.withColumn("bytes", F.octet_length("value").cast("long") + len(MAGIC))
-    pieces = materialize(raw, "pieces")
-    splits = pieces.groupBy("file", "split").agg(F.sum("bytes").alias("bytes"))
-    before = splits.select("file", "split", (F.sum("bytes").over(Window.partitionBy("file").orderBy("split")) - F.col("bytes")).alias("before"))
-    order = Window.partitionBy("file", "split").orderBy("row")
-    inside = pieces.withColumn("upto", F.sum("bytes").over(order) - F.col("bytes"))
-    return inside.join(before, ["file", "split"]).select("file", (F.col("before") + F.col("upto")).alias("at"), "value")
+    raw = raw.select(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("value"))
+    sizes = raw.groupBy("file", "split").agg(F.sum(F.octet_length("value").cast("long") + len(MAGIC)).alias("bytes"))
+    before = F.sum("bytes").over(Window.partitionBy("file").orderBy("split")) - F.col("bytes")  # a row a split
+    before = materialize(sizes.select("file", "split", before.alias("before")), "splits")
+    inside = raw.mapInArrow(_running, "file long, split long, upto long, value binary")
+    at = F.col("before") + F.col("upto") - len(MAGIC)
+    # what stands before the first magic of a file is no record
+    return inside.join(before, ["file", "split"]).select("file", at.alias("at"), F.col("value").cast("string").alias("value")).where("at >= 0")
 
 
 def _reachable(candidates: DataFrame) -> DataFrame:
@@ -96,9 +122,12 @@ def _reachable(candidates: DataFrame) -> DataFrame:
     reached = candidates.where("at = 0").select("file", "at")
     while not jump.isEmpty():
         ahead = reached.join(jump, ["file", "at"]).select("file", F.col("after").alias("at"))
+        old = reached, jump
         reached = materialize(reached.unionByName(ahead), "reached")
         onward = jump.select("file", F.col("at").alias("after"), F.col("after").alias("then"))
         jump = materialize(jump.join(onward, ["file", "after"]).select("file", "at", F.col("then").alias("after")), "jump")
+        for table in old:
+            discard(table)
     return reached
 
 
@@ -109,41 +138,39 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     A revisit's payload is null; its size is that of the response it refers to (null if
     that is not in the archives). digest_ok: the digest in the header is that of the payload.
     """
-    pieces = materialize(_pieces(spark, path).withColumn("at", F.col("at") - len(MAGIC)).where("at >= 0"), "offsets")
+    pieces = _pieces(spark, path)
     head = F.substring_index("value", END, 1)
     length = F.regexp_extract(head, r"\r\nContent-Length: (\d{1,18})$", 1).try_cast("long")
+
+    def field(pattern: str) -> Column:
+        return F.nullif(F.regexp_extract(head, r"(?:^|\r\n)" + pattern, 1), F.lit(""))
+
+    page, digest, kind = field(r"WARC-Record-ID: <urn:page:(-?\d+)>").cast("long"), field(r"WARC-Payload-Digest: sha1:(\w+)"), field(r"WARC-Type: (\w+)")
+    http = F.octet_length(F.substring_index(F.substr("value", F.length(head) + len(END) + 1), END, 1)) + len(END)
     after = F.col("at") + len(MAGIC) + F.octet_length(head) + 2 * len(END) + length
-    candidates = materialize(pieces.where(F.col("value").startswith("WARC-Type: ") & length.isNotNull()).select("file", "at", after.alias("after")), "candidates")
-    reached = _reachable(candidates).withColumn("start", F.col("at"))
+    found = pieces.where(F.col("value").startswith("WARC-Type: ") & length.isNotNull())
+    candidates = materialize(found.select("file", "at", after.alias("after"), page.alias("page"), digest.alias("digest"), kind.alias("kind"), (length - http).alias("bytes")), "candidates")
+    reached = _reachable(candidates.select("file", "at", "after")).withColumn("start", F.col("at"))
     owner = F.last("start", ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    owned = pieces.select("file", "at").join(reached, ["file", "at"], "left").withColumn("owner", owner)
-    inner = owned.where("start is null and owner is not null").select("file", "at", "owner").join(pieces, ["file", "at"])
+    places = pieces.select("file", "at").join(reached, ["file", "at"], "left").withColumn("owner", owner)
+    inner = places.where("start is null and owner is not null").select("file", "at", "owner").join(pieces, ["file", "at"])
     more = inner.groupBy("file", F.col("owner").alias("at")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: F.concat(F.lit(MAGIC), x["value"])), "").alias("more"))
-    records = pieces.join(reached.select("file", "at"), ["file", "at"]).join(more, ["file", "at"], "left")
-    records = records.select(head.alias("head"), F.concat("value", F.coalesce("more", F.lit(""))).alias("value"))
-    block = F.substr("value", F.length("head") + len(END) + 1, F.length("value") - F.length("head") - 2 * len(END))
+    records = pieces.join(reached.select("file", "at"), ["file", "at"]).join(more, ["file", "at"], "left").withColumn("value", F.concat("value", F.coalesce("more", F.lit(""))))
+    block = F.substr("value", F.length(head) + len(END) + 1, F.length("value") - F.length(head) - 2 * len(END))
     payload = F.substr(block, F.instr(block, END) + len(END))
-
-    def field(pattern: str) -> Column:
-        return F.nullif(F.regexp_extract("head", r"(?:^|\r\n)" + pattern, 1), F.lit(""))
-
     records = records.select(
-        field(r"WARC-Record-ID: <urn:page:(-?\d+)>").cast("long").alias("page_id"),
+        page.alias("page_id"),
         field(r"WARC-Target-URI: ([^\r]*)").alias("url"),
-        field(r"WARC-Type: (\w+)").alias("record_type"),
-        field(r"WARC-Payload-Digest: sha1:(\w+)").alias("payload_digest"),
+        kind.alias("record_type"),
+        digest.alias("payload_digest"),
         field(r"WARC-Refers-To: <urn:page:(-?\d+)>").cast("long").alias("refers_to"),
-        payload.alias("payload"),
-    )
-    records = materialize(
-        records.withColumn("payload", F.when(F.col("record_type") == "response", F.col("payload")))
-        .withColumn("payload_bytes", F.octet_length("payload").cast("long"))
-        .withColumn("digest_ok", F.col("payload").isNull() | (F.sha1("payload") == F.col("payload_digest"))),
-        "records",
+        F.when(kind == "response", payload).alias("payload"),
     )
-    held = records.where("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(F.max("payload_bytes").alias("held_bytes"))
-    again = records.where("record_type = 'revisit'").join(held, ["refers_to", "payload_digest"], "left").withColumn("payload_bytes", F.col("held_bytes")).drop("held_bytes")
-    return records.where("record_type != 'revisit'").unionByName(again)
+    held = candidates.where("kind = 'response'").join(reached.select("file", "at"), ["file", "at"]).groupBy(F.col("page").alias("refers_to"), F.col("digest").alias("payload_digest")).agg(F.max("bytes").alias("held"))
+    records = records.join(held, ["refers_to", "payload_digest"], "left")
+    size = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long")).otherwise(F.col("held"))
+    ok = F.col("payload").isNull() | (F.sha1("payload") == F.col("payload_digest"))
+    return records.select("page_id", "url", "payload", size.alias("payload_bytes"), "payload_digest", "record_type", "refers_to", ok.alias("digest_ok"))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

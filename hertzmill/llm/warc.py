@@ -39,7 +39,8 @@ def with_types(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     rows = rows.withColumn("digest", F.sha1("html")).withColumn("long", F.octet_length("html") >= least)
     again = rows.where("long").select("digest", "page_id").groupBy("digest").agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).where("n > 1 and holder is not null")
-    out = rows.join(again.select("digest", "holder"), "digest", "left")
+    # written first, so that Spark knows its size before it deals out the pages
+    out = rows.join(materialize(again.select("digest", "holder"), "repeated"), "digest", "left")
     revisit = F.col("long") & F.col("holder").isNotNull() & ~F.col("holder").eqNullSafe(F.col("page_id"))
     return out.select(
         "page_id", "url", "html", "digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("holder")).alias("refers_to")
@@ -148,14 +149,18 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     page, digest, kind = field(r"WARC-Record-ID: <urn:page:(-?\d+)>").cast("long"), field(r"WARC-Payload-Digest: sha1:(\w+)"), field(r"WARC-Type: (\w+)")
     http = F.octet_length(F.substring_index(F.substr("value", F.length(head) + len(END) + 1), END, 1)) + len(END)
     after = F.col("at") + len(MAGIC) + F.octet_length(head) + 2 * len(END) + length
+    refers = field(r"WARC-Refers-To: <urn:page:(-?\d+)>").cast("long")
     found = pieces.where(F.col("value").startswith("WARC-Type: ") & length.isNotNull())
-    candidates = materialize(found.select("file", "at", after.alias("after"), page.alias("page"), digest.alias("digest"), kind.alias("kind"), (length - http).alias("bytes")), "candidates")
+    columns = [page.alias("page"), digest.alias("digest"), kind.alias("kind"), refers.alias("refers"), (length - http).alias("bytes")]
+    candidates = materialize(found.select("file", "at", after.alias("after"), *columns), "candidates")
     reached = _reachable(candidates.select("file", "at", "after")).withColumn("start", F.col("at"))
+    # pieces that begin no record are few: payloads are read again, not dealt out, to part them from the others
     owner = F.last("start", ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    places = pieces.select("file", "at").join(reached, ["file", "at"], "left").withColumn("owner", owner)
-    inner = places.where("start is null and owner is not null").select("file", "at", "owner").join(pieces, ["file", "at"])
+    odd = pieces.select("file", "at").join(reached, ["file", "at"], "left").withColumn("owner", owner).where("start is null")
+    odd = materialize(odd.select("file", "at", "owner"), "odd")
+    inner = pieces.join(odd.where("owner is not null"), ["file", "at"])
     more = inner.groupBy("file", F.col("owner").alias("at")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: F.concat(F.lit(MAGIC), x["value"])), "").alias("more"))
-    records = pieces.join(reached.select("file", "at"), ["file", "at"]).join(more, ["file", "at"], "left").withColumn("value", F.concat("value", F.coalesce("more", F.lit(""))))
+    records = pieces.join(odd.select("file", "at"), ["file", "at"], "left_anti").join(materialize(more, "more"), ["file", "at"], "left").withColumn("value", F.concat("value", F.coalesce("more", F.lit(""))))
     block = F.substr("value", F.length(head) + len(END) + 1, F.length("value") - F.length(head) - 2 * len(END))
     payload = F.substr(block, F.instr(block, END) + len(END))
     records = records.select(
@@ -163,10 +168,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         field(r"WARC-Target-URI: ([^\r]*)").alias("url"),
         kind.alias("record_type"),
         digest.alias("payload_digest"),
-        field(r"WARC-Refers-To: <urn:page:(-?\d+)>").cast("long").alias("refers_to"),
+        refers.alias("refers_to"),
         F.when(kind == "response", payload).alias("payload"),
     )
-    held = candidates.where("kind = 'response'").join(reached.select("file", "at"), ["file", "at"]).groupBy(F.col("page").alias("refers_to"), F.col("digest").alias("payload_digest")).agg(F.max("bytes").alias("held"))
+    true = candidates.join(reached.select("file", "at"), ["file", "at"])
+    wanted = true.where("kind = 'revisit'").select(F.col("refers").alias("refers_to"), F.col("digest").alias("payload_digest")).distinct()
+    held = true.where("kind = 'response'").groupBy(F.col("page").alias("refers_to"), F.col("digest").alias("payload_digest")).agg(F.max("bytes").alias("held"))
+    held = materialize(held.join(wanted, ["refers_to", "payload_digest"]), "held")
     records = records.join(held, ["refers_to", "payload_digest"], "left")
     size = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long")).otherwise(F.col("held"))
     ok = F.col("payload").isNull() | (F.sha1("payload") == F.col("payload_digest"))

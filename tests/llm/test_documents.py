@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -210,6 +211,34 @@ def test_passages(docs, empty):
     assert passages.repeated_passages(empty).count() == 0
 
 
+def test_passages_of_frequent_lines(spark):
+    """Two documents share four lines of which each also stands in earlier documents."""
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    make = lambda n: " ".join(word() for _ in range(n))
+    lines = [make(13) for _ in range(40)]
+    rows = [(i, "\n".join(make(9) + "\n" + x for x in rnd.sample(lines, 12))) for i in range(60)]
+    shared = ["\n".join(rnd.sample(lines, 4)) for _ in range(40)]
+    rows += [(100 + 2 * i + k, make(20) + "\n" + p + "\n" + make(20)) for i, p in enumerate(shared) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    covered = defaultdict(set)
+    for r in passages.repeated_passages(df).collect():
+        covered[r["doc_id"]].update(range(r["start"], r["end"]))
+    assert [i for i in range(40) if not covered[101 + 2 * i] >= set(range(20, 72))] == []
+
+
+def test_no_repeated_window_is_missed(docs):
+    rows = {r["doc_id"]: words(r["text"]) for r in docs.where("doc_id is not null").collect()}
+    covered, first = defaultdict(set), {}
+    for r in passages.repeated_passages(docs).collect():
+        covered[r["doc_id"]].update(range(r["start"], r["end"]))
+    missed = 0
+    for d in sorted(rows):
+        for i in range(len(rows[d]) - 54):
+            missed += first.setdefault(tuple(rows[d][i : i + 55]), d) != d and not covered[d] >= set(range(i, i + 55))
+    assert missed == 0
+
+
 # ------------------------------------------------------------------------------ mixing
 def test_mixing(docs, empty):
     rows = mixing.mix(docs).collect()

@@ -239,6 +239,23 @@ def test_no_repeated_window_is_missed(docs):
     assert missed == 0
 
 
+def test_windows_meet_alike_in_any_batches():
+    """Pairs don't depend on batch edges or on how many windows of a value are held."""
+    rng = np.random.default_rng(3)
+    n = 400
+    value, doc = np.sort(rng.integers(0, 12, n)), rng.integers(0, 200, n)
+    order = np.lexsort((doc, value))
+    columns = [value[order], doc[order], np.arange(n), rng.integers(0, 5, n) << 20, rng.integers(0, 4, n) | rng.integers(0, 4, n) << 32, rng.integers(0, 4, n) | rng.integers(0, 3, n) << 32]
+    table = pa.table(dict(zip(["value", "doc", "c", "ends", "sides", "rest"], map(pa.array, columns), strict=True)))
+    found = []
+    for size, most in ((1000, 1000), (7, 1000), (7, 20), (50, 1), (1, 3)):
+        met = pa.Table.from_batches(list(passages._meet(most)(iter(table.to_batches(max_chunksize=size)))))
+        met = met.sort_by([("key", "ascending"), ("doc", "ascending"), ("a", "ascending")])
+        out = pa.Table.from_batches(list(passages._meet_sorted(iter(met.to_batches(max_chunksize=size)))))
+        found.append({(r["doc"], r["src"], r["a"], r["b"]) for r in out.to_pylist()})
+    assert len(found[0]) > n and all(x == found[0] for x in found)
+
+
 # ------------------------------------------------------------------------------ mixing
 def test_mixing(docs, empty):
     rows = mixing.mix(docs).collect()

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .common import WORD_BREAK, materialize
 
 WINDOW = 8
+#: Words among which distinct ones are counted; the share of distinct words falls with length.
+STRETCH = 400
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,7 @@ RULES = (
     Rule("line_length", "n_lines >= 5 and n_words < 4 * n_lines", "false"),
     Rule("repeated_lines", "n_dup_lines > 0.3 * n_lines", "false"),
     Rule("repeated_words", "n_repeat_words > 0.2 * n_words", "false"),
-    Rule("vocabulary", "n_words >= 50 and n_distinct < 0.2 * least(n_words, 400)", "false"),
+    Rule("vocabulary", "n_words >= 50 and n_distinct < 0.2 * n_words", "false"),
     Rule("capitals", "n_upper > 0.4 * word_chars", "false"),
     Rule("exclaims", "n_exclaims > 0.15 * n_words", "false"),
 )
@@ -75,6 +77,12 @@ def _covered(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("long")).otherwise(_let(_let(by_hash, places), cover))
 
 
+def _distinct(words: Column) -> Column:
+    """Distinct words of each stretch, summed over all stretches."""
+    starts = F.sequence(F.lit(0), F.floor((F.greatest(F.size(words), F.lit(1)) - 1) / STRETCH).cast("int"))
+    return F.aggregate(starts, F.lit(0).cast("long"), lambda total, k: total + F.size(F.array_distinct(F.slice(words, k * STRETCH + 1, F.lit(STRETCH)))))
+
+
 def measures(docs: DataFrame) -> DataFrame:
     """doc_id and the measures of each whole text; a null text measures as an empty one.
 
@@ -100,7 +108,7 @@ def measures(docs: DataFrame) -> DataFrame:
         _count(F.col("t"), "[A-ZÀ-ÖØ-Þ]").alias("n_upper"),
         _count(F.col("t"), r" [#*$%&|<>•·/=~-]+(?= )").alias("n_bars"),
         _count(F.col("t"), "!").alias("n_exclaims"),
-        F.size(F.array_distinct(F.slice("w", 1, 400))).cast("long").alias("n_distinct"),
+        _distinct(F.col("w")).alias("n_distinct"),
     ).select("doc_id", "text_key", "n_words", "word_chars", "n_symbols", F.col("lines.n").alias("n_lines"), F.col("lines.dup").alias("n_dup_lines"), "n_repeat_words", "n_marks", "n_upper", "n_bars", "n_exclaims", "n_distinct")
 
 

@@ -86,6 +86,14 @@ def test_measures(docs):
         assert not (r["kept"] and failed)
 
 
+def test_vocabulary_of_the_whole_text(spark):
+    varied = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(varied + ["a", "b", "c"] * 3000)), (2, " ".join(["a", "b"] * 200 + [f"v{i}" for i in range(9000)])), (3, " ".join(varied)), (4, "a b " * 30), (5, ""), (6, " ".join(varied[:5] * 100))]
+    at = [r.name for r in quality.RULES].index("vocabulary")
+    got = {r["doc_id"]: (r["n_distinct"], r["votes"][at]) for r in quality.votes(quality.measures(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got == {1: (400 + 23 * 3, -1), 2: (2 + 9000, 0), 3: (400, 0), 4: (2, -1), 5: (0, 0), 6: (10, -1)}
+
+
 def test_estimation_finds_the_good_rules(spark):
     rnd = random.Random(2)
     truth, rows = [], []

@@ -3,7 +3,8 @@
 Markup is stripped to lines, one for each block element. Elements that announce
 themselves as something else than the article (navigation, forms, adverts, comments ...)
 go with their contents. Over the lines left, the lengths of text outside links are
-summed in sliding windows; text is kept from where the sums surge to where they dive.
+summed in sliding windows; text is kept from where the sums first surge to where they
+last dive.
 """
 
 from __future__ import annotations
@@ -134,31 +135,44 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
 def main_text(page: str) -> str:
     """The article of a page, one line a block; empty if there is none.
 
-    If blocks within article or main elements have text outside links, only these are
-    looked at, and the article goes from the first to the last of them; otherwise it
-    begins where the sums reach SURGE characters and ends where they fall to half. Of
-    several stretches the one with the most text wins, the first of equals.
+    If article and main elements hold at least half of the page's text outside links, only
+    they are looked at, and the article goes from the first to the last of their blocks
+    with such text. Otherwise it goes from where the sums first surge to where they last
+    dive to half of that; what lies between goes too if it has text outside links. Plain
+    lines right above the first surge (title, byline) belong to it. Sums surge at SURGE
+    characters, or at half of the page's largest sum if that is less; a page with under
+    SURGE characters outside links has no article but by its elements.
     """
     rows = lines(page)
     inside = [x for x in rows if x[2]]
-    whole = any(x[1] for x in inside)
-    rows = inside if whole else rows
+    plain = sum(x[1] for x in rows)
+    within = sum(x[1] for x in inside)
+    if within and 2 * within >= plain:
+        kept = [i for i, x in enumerate(inside) if x[1]]
+        return "\n".join(x[0] for x in inside[kept[0] : kept[-1] + 1])
+    if plain < SURGE:
+        return ""
     lengths = [x[1] for x in rows]
-    if whole:
-        kept = [i for i, n in enumerate(lengths) if n]
-        return "\n".join(x[0] for x in rows[kept[0] : kept[-1] + 1])
     half = WINDOW // 2
     sums = [sum(lengths[max(0, i - half) : i + half + 1]) for i in range(len(rows))]
-    best, i = (0, 0, 0), 0
+    surge = min(SURGE, max(sums) / 2)
+    stretches, i = [], 0
     while i < len(rows):
-        if sums[i] >= SURGE and lengths[i]:
+        if sums[i] >= surge and lengths[i]:
             j = i
-            while j < len(rows) and sums[j] >= SURGE / 2 and any(lengths[j : j + 2]):
+            while j < len(rows) and sums[j] >= surge / 2 and any(lengths[j : j + 2]):
                 j += 1
-            best = max(best, (sum(lengths[i:j]), -i, j))
+            stretches.append((i, j))
             i = j
         i += 1
-    return "\n".join(x[0] for x in rows[-best[1] : best[2]])
+    first = stretches[0][0]
+    while first and stretches[0][0] - first < WINDOW and lengths[first - 1]:
+        first -= 1
+    stretches.insert(0, (first, first))
+    out = []
+    for (_, end), (start, until) in zip(stretches, stretches[1:], strict=False):
+        out += [x[0] for x in rows[end:start] if x[1]] + [x[0] for x in rows[start:until]]
+    return "\n".join(out)
 
 
 def extract(pages: DataFrame) -> DataFrame:

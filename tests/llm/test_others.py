@@ -64,6 +64,19 @@ def test_main_text(page, text):
     assert got == text or text.startswith("5 <") and got.startswith(text)
 
 
+def test_main_text_is_whole():
+    long, links = "some words of the article " * 8, "<p><a href=x>one</a></p><p><a href=y>two</a></p>"
+    p = lambda *x: "".join(f"<p>{t}</p>" for t in x)
+    cells = [f"c{i}" for i in range(12)]
+    # a table of short cells and lines of links amid the text
+    page = p(long) + "<table><tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr></table>" + links + p(long, "end")
+    assert html.main_text(page) == "\n".join([long.strip(), *cells, long.strip(), "end"])
+    verse = [f"a short line {i}" for i in range(10)]
+    assert html.main_text(p(*verse)) == "\n".join(verse)
+    assert html.main_text(links + p("A title", "by someone", long)) == "\n".join(["A title", "by someone", long.strip()])
+    assert html.main_text(p(long, long) + "<article><p>Teaser: <a href=x>read on</a></p></article>") == "\n".join([long.strip(), long.strip(), "Teaser: read on"])
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", None), (None, None, "<article>x</article>"), (1, "u", "<article>x</article>")], "page_id long, url string, html string").withColumn("text", F.lit(3))
     assert sorted((r["text"], r["n_chars"]) for r in html.extract(df).collect()) == [("", 0), ("x", 1), ("x", 1)]

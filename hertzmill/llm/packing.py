@@ -3,12 +3,15 @@
 Each task keeps a fixed number of open windows. A piece goes where it leaves the least
 room (best fit); when no window takes it and none may be opened, the fullest is emitted,
 topped up with the front of the piece if that leaves no sliver. What is open at the end
-of the tasks is merged in rounds, each on a 64th of the partitions before, so no task
-sees more than 64 partitions' worth of open windows.
+of the tasks is merged in rounds, by groups of 64 tasks of the round before: a merge holds
+the open windows of one group, whatever number of groups its task has.
 """
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -20,36 +23,63 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, runs
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, open boolean"
 _ARROW = pa.schema([(x.split()[0], pa.bool_() if x.endswith("boolean") else pa.int64()) for x in SCHEMA.split(", ")])
 FAN_IN = 64
+#: Words whose ids an encoder remembers before it begins anew; those of the round before are still looked up.
+REMEMBERED = 1 << 18
+_PART = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
+_OTHER_SPACE = re.compile(r"[^\S \n\t\r]")
 _encoders: dict = {}
 
 
-def encoder(path: str):
-    """Function from a list of texts to arrays of ids; ``path``: .json (tokenizers) or .tiktoken ranks.
+class Encoder:
+    """Ids of texts by a tokenizer file, as little-endian 32-bit integers.
 
-    Strings of special tokens inside a text are ordinary text.
+    Byte-level BPE never joins a character other than white space with white space after
+    it, so a text is the sequence of its words, each with the white space before it. Ids of
+    short ones are remembered. Texts with rarer white space are encoded as a whole.
     """
-    if path not in _encoders:
-        if path.endswith(".json"):
-            from tokenizers import Tokenizer
 
-            model = Tokenizer.from_file(path)
-            model.encode_special_tokens = True
-            _encoders[path] = lambda texts: [np.array(x.ids, np.uint32) for x in model.encode_batch_fast(texts, add_special_tokens=False)]
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core's work
+        self.model, self.known, self.older = Tokenizer.from_file(path), {}, {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        return [struct.pack(f"<{len(x)}I", *x) for x in found]
+
+    def ids(self, text: str) -> bytes:
+        if _OTHER_SPACE.search(text):
+            return self._encode([text])[0]
+        parts = _PART.findall(text)
+        new = set(parts).difference(self.known)
+        if not new:
+            return b"".join(map(self.known.__getitem__, parts))
+        here = {x: self.older[x] for x in new if x in self.older}
+        new = [x for x in new if x not in here]
+        here.update(zip(new, self._encode(new), strict=True))
+        known = self.known
+        if len(new) < 1 << 12:
+            known.update(here)
+            out = b"".join(map(known.__getitem__, parts))
         else:
-            import base64
+            out = b"".join([here[x] if x in here else known[x] for x in parts])
+        for part in new:
+            if len(part) > 64:
+                known.pop(part, None)
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known
+        return out
 
-            import public_tokenizers
-            import tiktoken
 
-            with open(path, "rb") as lines:
-                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            ranked = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-            _encoders[path] = lambda texts: [np.array(ranked.encode_ordinary(x), np.uint32) for x in texts]
+def encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
     return _encoders[path]
 
 
@@ -107,29 +137,29 @@ class Packer:
 
 def _pack(size: int, most_open: int, path: str, end_id: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
+        encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
         packer = Packer(size, most_open, TaskContext.get().partitionId() << 32)
         for batch in batches:
-            names, texts = batch["doc_id"].to_pylist(), batch["text"]
-            for i in range(0, len(names), 128):
-                for name, ids in zip(names[i : i + 128], encode([x or "" for x in texts.slice(i, 128).to_pylist()]), strict=True):
-                    raw = np.append(ids, np.uint32(end_id)).astype("<u4").tobytes()
-                    total = len(raw) // 4
-
-                    def piece(start: int, length: int, raw=raw, name=name, total=total) -> tuple:
-                        return name, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), total
-
-                    def cut(p: tuple, n: int, piece=piece) -> tuple:
-                        return piece(p[1], n), piece(p[1] + n, p[2] - n)
-
-                    whole = total - total % size
-                    for start in range(0, whole, size):
-                        number = packer._open()
-                        packer.held[number].append(piece(start, size))
-                        packer.emit(number)
-                    if total > whole:
-                        packer.place(piece(whole, total - whole), cut)
-                yield packer.drain()
+            for no, (name, text) in enumerate(zip(batch["doc_id"].to_pylist(), batch["text"], strict=True), 1):
+                raw = encode.ids(text.as_py() or "") + end
+                total = len(raw) // 4
+
+                def piece(start: int, length: int, raw=raw, name=name, total=total) -> tuple:
+                    return name, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), total
+
+                def cut(p: tuple, n: int, piece=piece) -> tuple:
+                    return piece(p[1], n), piece(p[1] + n, p[2] - n)
+
+                whole = total - total % size
+                for start in range(0, whole, size):
+                    number = packer._open()
+                    packer.held[number].append(piece(start, size))
+                    packer.emit(number)
+                if total > whole:
+                    packer.place(piece(whole, total - whole), cut)
+                if not no % 128:
+                    yield packer.drain()
+            yield packer.drain()
         for _, number in packer.rooms:
             packer.emit(number, True)
         yield packer.drain()
@@ -139,13 +169,14 @@ def _pack(size: int, most_open: int, path: str, end_id: int):
 
 def _merge(size: int, most_open: int, round_no: int, last: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(size, most_open, (round_no << 56) | (TaskContext.get().partitionId() << 32))
-        pieces = [p for batch in batches for p in zip(*(batch[f].to_pylist() for f in _ARROW.names[:5]), strict=True)]
-        for p in sorted(pieces, key=lambda p: (-p[2], p[0] is None, p[0] or 0, p[1])):
-            packer.place(p, lambda p, n: None)
-        for _, number in packer.rooms:
-            packer.emit(number, not last)
-        yield packer.drain()
+        for group in runs(batches, "group"):
+            packer = Packer(size, most_open, (round_no << 56) | (group["group"][0].as_py() << 32))
+            pieces = zip(*(group[f].to_pylist() for f in _ARROW.names[:5]), strict=True)
+            for p in sorted(pieces, key=lambda p: (-p[2], p[0] is None, p[0] or 0, p[1], p[3])):
+                packer.place(p, lambda p, n: None)
+            for _, number in packer.rooms:
+                packer.emit(number, not last)
+            yield packer.drain()
 
     return task
 
@@ -154,23 +185,23 @@ def pack(docs: DataFrame, path: str, size: int = 1024, most_open: int = 64, end_
     """Pieces of all documents, each in exactly one place of one sequence.
 
     doc_id, start and length (tokens before the piece and in it), ids_crc32 (CRC-32 of
-    its ids as little-endian 32-bit words), doc_tokens (with the end id), sequence_id,
-    offset, and padded_to: size, or the sequence's own length where that is a power of
-    two. A null text is an empty one: a single end id. Rows are packed one by one, so
-    repeated rows give repeated pieces; a null doc_id stays null. No rows: no rows.
-    Only doc_id and text are read. Ids of sequences depend on the partitions of the
-    input alone, so a task that is run again gives the same rows.
+    its ids as little-endian 32-bit words), doc_tokens (with the end id), sequence_id and
+    offset. Ids are those of the tokenizers file at path, special tokens found in a text
+    included, none added. A null text is an empty one: a single end id. Rows are packed
+    one by one, so repeated rows give repeated pieces; a null doc_id stays null. No rows:
+    no rows. Only doc_id and text are read. Ids of sequences depend on the partitions of
+    the input alone, so a task that is run again gives the same rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = docs.rdd.getNumPartitions()
     packed = materialize(docs.mapInArrow(_pack(size, most_open, path, end_id), SCHEMA), "pieces")
     done, left, round_no = packed.where("not open"), packed.where("open"), 0
+    origin = F.shiftright("sequence_id", 32).bitwiseAND((1 << 24) - 1)
+    parts = (left.agg(F.max(origin)).first()[0] or 0) + 1
     while True:
         round_no, parts = round_no + 1, -(-parts // FAN_IN)
-        merged = left.repartition(parts, F.shiftright("sequence_id", 32)).mapInArrow(_merge(size, most_open, round_no, parts == 1), SCHEMA)
+        grouped = left.withColumn("group", F.floor(origin / FAN_IN).cast("long"))
+        merged = grouped.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_merge(size, most_open, round_no, parts == 1), SCHEMA)
         if parts == 1:
-            out = done.unionByName(merged).drop("open")
-            break
+            return done.unionByName(merged).drop("open")
         merged = materialize(merged, "pieces")
         done, left = done.unionByName(merged.where("not open")), merged.where("open")
-    return out

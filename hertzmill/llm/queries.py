@@ -31,7 +31,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -297,11 +297,12 @@ def test_shares():
 
 
 # ----------------------------------------------------------------------------- packing
-@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "byte_bpe_50k.tiktoken"])
-def test_packing(docs, name):
+def test_packing(spark, docs):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = Counter()
-    rows = packing.pack(docs, public_tokenizers.path(name), size=256, most_open=4).collect()
+    odd = [(900_001, "a <|endoftext|> b<|endoftext|>"), (900_002, "<|endoftext|>" * 300), (900_003, "x\xa0 y\x85\n z"), (900_004, "  \n\n a \t"), (900_005, "w" * 3000 + " " * 500)]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    rows = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=256, most_open=4).collect()
     ids = {}
     for r in docs.collect():
         ids.setdefault((r["doc_id"], len(e := tok.encode(r["text"] or "", add_special_tokens=False).ids) + 1), []).append(np.array([*e, 0], "<u4"))
@@ -322,16 +323,29 @@ def test_packing(docs, name):
         assert at <= 256
 
 
+def test_ids_equal_the_tokenizer(texts, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, own, rnd = Tokenizer.from_file(path), packing.Encoder(path), random.Random(3)
+    assert np.frombuffer(own.ids("a <|endoftext|> b"), "<u4").tolist() == [64, 220, 50256, 275]
+    pool = ["a", "Zo", "é", " ", "  ", "\n", "\t", "\r\n", "\xa0", "\x1c", "\x85", "\u2003", "'s", "'ll", "12", "!?", "ж", "漢", "<|endoftext|>", "\u180e", "\u200b", "😀", "x" * 70]
+    made = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    for remembered in (1 << 17, 50):
+        monkeypatch.setattr(packing, "REMEMBERED", remembered)
+        for t in [*made, *(x for x in texts if x)]:
+            assert np.frombuffer(own.ids(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+        assert len(own.known) <= remembered and max(map(len, own.known), default=0) <= 64
+
+
 def test_packing_rounds_and_empty(spark, empty):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 37 + 1).cast("int")).alias("text")).repartition(70)
-    rows = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), size=64, most_open=2).collect()
+    rows = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=64, most_open=2).collect()
     fills = Counter()
     for r in rows:
         fills[r["sequence_id"]] += r["length"]
     assert {r["doc_id"] for r in rows} == set(range(400)) and max(fills.values()) <= 64
     # with two open windows, and pieces of over half a window among them, best fit fills half at least
     assert sum(fills.values()) / (64 * len(fills)) > 0.5
-    assert packing.pack(empty, public_tokenizers.path("byte_bpe_50k.tiktoken")).count() == 0
+    assert packing.pack(empty, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
 # ---------------------------------------------------------------------------- language

@@ -35,7 +35,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 1024 tokens."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

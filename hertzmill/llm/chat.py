@@ -60,7 +60,7 @@ def _role_mark(role: Column, template: Template) -> Column:
 def _role_of(mark: Column, template: Template) -> Column:
     known = F.create_map(*[F.lit(x) for a, b in template.marks.items() for x in (b, a)])
     names = F.array(*[F.lit("\\c" + x) for x in template.marks.values()])
-    plain = F.when(F.array_contains(names, mark), F.substring(mark, 3, 1 << 20)).otherwise(mark)
+    plain = F.when(F.array_contains(names, mark), F.substr(mark, F.lit(3))).otherwise(mark)
     parts = F.transform(F.split(plain, r"\\\\", -1), lambda x: F.replace(x, F.lit("\\c"), F.lit(":")))
     return F.coalesce(F.try_element_at(known, mark), unescape(F.array_join(parts, "\\\\")))
 

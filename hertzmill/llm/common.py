@@ -6,7 +6,6 @@ storage that every executor sees and a lost executor costs a re-read, not a re-r
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -21,11 +20,10 @@ WORD_BREAK = r"[ \t-\r]+"
 
 # --------------------------------------------------------------------------- scratch
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of this application; one is made only where none is configured."""
+    """The shared folder of this application, below spark.checkpoint.dir; an error where that is unset."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-hertzmill-")
-        spark.sparkContext._conf.set("spark.checkpoint.dir", base)
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/hertzmill-{spark.sparkContext.applicationId}"
 
 
@@ -52,6 +50,29 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, name: str, *order) -> DataFrame:
+    """Adds name, the place of each row in the order, from 0. The driver sees one count for each partition."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", 33)
+    before, total = [], 0
+    for r in rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect():
+        before.append((r["part"], total))
+        total += r["n"]
+    before = spark.createDataFrame(before, "_part long, _before long")
+    out = rows.withColumn("_part", part).join(F.broadcast(before), "_part")  # a row a partition
+    return out.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).select(*df.columns, name)
+
+
 # ------------------------------------------------------------------------ components
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Within one task: replace edges by stars around the smallest node of each local tree."""

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, likely_in, materialize, runs, shingle_hashes, texts_in_slices
+from .common import connected_components, discard, fresh, likely_in, materialize, runs, shingle_hashes, texts_in_slices
 
 BUCKET_BITS = 17
 _LOW = np.uint64(64 - BUCKET_BITS)
@@ -336,5 +336,6 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     A row whose doc_id is null stays unless its set equals that of a row with an id.
     """
-    linked = jaccard_components(docs, n, percent).where("component_id is not null and not component_id <=> doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(linked, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    name = fresh(docs, "linked_id")
+    linked = jaccard_components(docs, n, percent).where("component_id is not null and not component_id <=> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(linked, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")

@@ -9,12 +9,12 @@ centroid is further away than its own training vectors are.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ DIM = 1 << DIM_BITS
 #: Most training rows a language that centroids are fitted on. Rows are drawn by hash.
 SAMPLE = 600
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _PIECE = 1 << 18
 _KEEP = np.ones(256, bool)
 _KEEP[:65] = False

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAK, materialize
+from .common import WORD_BREAK, fresh, materialize, numbered
 
 LEVELS, LEVEL_BITS = 4, 13
 WEIGHTS = (5, 2, 1)
@@ -27,21 +27,25 @@ def row_hash(key: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 13), 16, 10).cast("long")
 
 
-def shares(sizes: dict, weights: tuple = WEIGHTS, amount: float = 1.5, most: float = 2.0) -> dict:
-    """Target by source. Sources by code point, null last, weigh as given, repeating.
+def shares(sizes: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: float = 2.0) -> DataFrame:
+    """Adds weight and target to (source, source_size), one row a source.
 
-    They share amount times all sizes by weight; what exceeds most times a source's size is
-    shared again among the others until none exceeds.
+    Sources by code point, null last, weigh as given, repeating. They share amount times
+    all sizes by weight; what exceeds most times a source's size is shared again among the
+    others until none exceeds. Each round of that is one aggregate over the sources.
     """
-    order = sorted(sizes, key=lambda s: (s is None, s))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    left, open_weight, target = amount * sum(sizes.values()), float(sum(weight.values())), {}
-    for s in sorted(order, key=lambda s: (most * sizes[s] / weight[s], s is None, s)):
-        rate = left / open_weight
-        target[s] = min(most * sizes[s], rate * weight[s])
-        if most * sizes[s] <= rate * weight[s]:
-            left, open_weight = left - most * sizes[s], open_weight - weight[s]
-    return target
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    rows = numbered(sizes, "place", F.col("source").asc_nulls_last()).withColumn("weight", weight).drop("place")
+    rows = materialize(rows, "sources")
+    rate, held = 0.0, -1
+    while True:
+        full = F.col("source_size") * F.lit(float(most)) <= F.lit(rate) * F.col("weight")
+        total, capped, n, rest = rows.agg(F.sum("source_size"), F.sum(F.when(full, F.col("source_size"))), F.count_if(full), F.sum(F.when(~full, F.col("weight")))).first()
+        if not rest or n == held:
+            break
+        rate, held = (amount * total - most * (capped or 0)) / rest, n
+    target = F.least(F.col("source_size") * F.lit(float(most)), F.lit(rate) * F.col("weight"))
+    return rows.withColumn("target", F.col("source_size") * F.lit(float(most)) if not rest else target)
 
 
 def _thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
@@ -72,15 +76,12 @@ def mixing_plan(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5,
 
     plan, one row a source: s, source_size, target, times (whole rounds that every row is
     taken) and below (rows with a smaller hash are taken once more; null: none).
-    The driver holds one number for each source.
     """
     words, h = word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id")).alias("hash")
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words, h), "sizes")
-    sizes = {r["source"]: r["size"] for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()}
-    target = shares(sizes, weights, amount, most)
-    plan = docs.sparkSession.createDataFrame(
-        [(s, sizes[s], float(t), int(t // sizes[s]) if sizes[s] else 0) for s, t in target.items()], "source string, source_size long, target double, times long"
-    )
+    plan = shares(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, amount, most)
+    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    plan = materialize(plan.select("source", "source_size", "target", times.alias("times")), "targets")
     below = _thresholds(rows, plan.where("source_size > 0").select("source", (F.col("target") - F.col("times") * F.col("source_size")).alias("budget")))
     # written, so that Spark knows its size when it chooses how to join it
     return rows, materialize(plan.join(below, plan["source"].eqNullSafe(below["s"]), "left").drop("s").withColumnRenamed("source", "s"), "plan")
@@ -108,7 +109,10 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: fl
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, amount: float = 1.5, most: float = 2.0) -> DataFrame:
     """The rows of docs as often as the mix takes them, all columns as they were."""
     _, plan = mixing_plan(docs, weights, amount, most)
-    plan = plan.select("s", "times", "below").withColumnsRenamed({c: f"_{c}" for c in ("s", "times", "below")})
-    copies = F.col("_times") + F.coalesce(row_hash(F.col("doc_id")) < F.col("_below"), F.lit(False)).cast("long")
-    repeated = docs.join(plan, docs["source"].eqNullSafe(F.col("_s")), "left").where(copies > 0)
-    return repeated.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("_copy")).drop("_copy")
+    names = {c: fresh(docs, f"mix_{c}") for c in ("s", "times", "below")}
+    plan = plan.select(*names).withColumnsRenamed(names)
+    source, times, below = (F.col(x) for x in names.values())
+    copies = times + F.coalesce(row_hash(F.col("doc_id")) < below, F.lit(False)).cast("long")
+    repeated = docs.join(plan, docs["source"].eqNullSafe(source), "left").where(copies > 0)
+    copy = fresh(docs, "mix_copy")
+    return repeated.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias(copy)).drop(copy)

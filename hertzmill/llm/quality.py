@@ -83,22 +83,25 @@ def _distinct(words: Column) -> Column:
     return F.aggregate(starts, F.lit(0).cast("long"), lambda total, k: total + F.size(F.array_distinct(F.slice(words, k * STRETCH + 1, F.lit(STRETCH)))))
 
 
-def measures(docs: DataFrame) -> DataFrame:
+def measures(docs: DataFrame, row: str | None = None) -> DataFrame:
     """doc_id and the measures of each whole text; a null text measures as an empty one.
 
+    row: name of a column that holds the whole row as a struct, none by default.
+
     Words are runs of characters other than space, tab, LF, VT, FF and CR. Windows of
     eight words are told apart by 64-bit hashes.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"))
+    whole = [F.struct(*[docs[c] for c in docs.columns]).alias(row)] if row else []
+    also = [row] if row else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"), *whole)
     lines = F.filter(F.split("t", "\n", -1), lambda x: F.translate(x, " \t\n\x0b\f\r", "") != "")
     hashes = F.transform(F.col("w"), lambda x: F.xxhash64(x))
     eights = _let(_let(_let(hashes, lambda a: _pairs(a, 1)), lambda a: _pairs(a, 2)), lambda a: _pairs(a, 4))
     eights = F.slice(eights, F.lit(1), F.greatest(F.size("w") - (WINDOW - 1), F.lit(0)))
-    docs = docs.withColumn("text_key", F.xxhash64("t"))
     return docs.withColumn("w", F.array_remove(F.split("t", WORD_BREAK, -1), "")).select(
         "doc_id",
-        "text_key",
+        *also,
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         _count(F.col("t"), r"[#*$%&|<>]").alias("n_symbols"),
@@ -109,7 +112,7 @@ def measures(docs: DataFrame) -> DataFrame:
         _count(F.col("t"), r" [#*$%&|<>•·/=~-]+(?= )").alias("n_bars"),
         _count(F.col("t"), "!").alias("n_exclaims"),
         _distinct(F.col("w")).alias("n_distinct"),
-    ).select("doc_id", "text_key", "n_words", "word_chars", "n_symbols", F.col("lines.n").alias("n_lines"), F.col("lines.dup").alias("n_dup_lines"), "n_repeat_words", "n_marks", "n_upper", "n_bars", "n_exclaims", "n_distinct")
+    ).select("doc_id", *also, "n_words", "word_chars", "n_symbols", F.col("lines.n").alias("n_lines"), F.col("lines.dup").alias("n_dup_lines"), "n_repeat_words", "n_marks", "n_upper", "n_bars", "n_exclaims", "n_distinct")
 
 
 def votes(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -150,15 +153,16 @@ def estimate(voted: DataFrame, n_rules: int, rounds: int = 25, start: float = 0.
     return accuracies, prior
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep_from: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep_from: float = 0.5, row: str | None = None) -> DataFrame:
     """The measures, votes, posterior, base_failed and kept of every row of docs.
 
     base_failed: fewer than 20 words, or more than 30 in 100 words in repeated windows.
     kept: not base_failed and a posterior of at least keep_from. Only doc_id and text
     are read; each row, repeated or not, is judged by its own text; a null doc_id stays
-    null; a null or empty text has no words and so fails; no rows give no rows.
+    null; a null or empty text has no words and so fails; no rows give no rows. row: a
+    column to hold the whole row as a struct.
     """
-    measured = materialize(measures(docs), "measures")
+    measured = materialize(measures(docs, row), "measures")
     voted = votes(measured, rules)
     accuracies, prior = estimate(voted, len(rules))
     return (
@@ -169,7 +173,5 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep_from: float = 0
 
 
 def without_rejected(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep_from: float = 0.5) -> DataFrame:
-    """The rows of docs that judge() keeps, all columns as they were."""
-    rejected = judge(docs, rules, keep_from).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("_key"))
-    return docs.join(rejected, same, "left_anti")
+    """The rows of docs that judge() keeps, all columns as they were; no row is shuffled."""
+    return judge(docs, rules, keep_from, "whole_row").where("kept").select(F.col("whole_row.*"))

@@ -291,9 +291,37 @@ def test_nested_thresholds(docs):
     assert small <= large
 
 
-def test_shares():
-    got = mixing.shares({"a": 10, "b": 1000, None: 100})
-    assert got["a"] == 20 and got[None] <= 200 and abs(sum(got.values()) - 1.5 * 1110) < 1e-9
+def water_fill(sizes, weights=(5, 2, 1), amount=1.5, most=2.0):
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight, target, left = {s: weights[i % len(weights)] for i, s in enumerate(order)}, {}, amount * sum(sizes.values())
+    while True:
+        rate = left / max(1, sum(weight[s] for s in order if s not in target))
+        over = [s for s in order if s not in target and most * sizes[s] <= rate * weight[s]]
+        if not over:
+            return target | {s: rate * weight[s] for s in order if s not in target}
+        for s in over:
+            target[s] = most * sizes[s]
+            left -= target[s]
+
+
+def test_shares(spark):
+    rnd = random.Random(9)
+    many = {f"host-{i}": int(rnd.paretovariate(0.7)) for i in range(500)} | {None: 100, "é": 0}
+    for sizes in ({"a": 10, "b": 1000, None: 100}, many, {"only": 7}, {"a": 0}):
+        rows = mixing.shares(spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(3)).collect()
+        want = water_fill(sizes)
+        assert {r["source"]: r["target"] for r in rows} == pytest.approx(want) and len(rows) == len(sizes)
+
+
+def test_reserved_names_do_not_clash(spark):
+    """Rows may have any other columns, also those that the operators add on their way."""
+    clash = ["_id", "_key", "_s", "_times", "_below", "_copy", "_spans", "mix_s", "MIX_COPY", "mix_times", "linked_id", "cut_id", "cuts", "whole_row", "kept", "t", "w", "posterior", "hash", "key"]
+    text = " ".join(f"w{i % 60}" for i in range(120))
+    rows = [(i, text + f" x{i}", "en", "s", 1, *["v"] * len(clash)) for i in range(6)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", " + ", ".join(f"`{c}` string" for c in clash))
+    for out in (quality.without_rejected(docs), jaccard.one_of_each(docs), passages.without_passages(docs, passages.repeated_passages(docs)), mixing.mixed(docs)):
+        assert out.columns == docs.columns and all(r["_id"] == "v" and r["MIX_COPY"] == "v" for r in out.collect())
+    assert packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).count() >= 6
 
 
 # ----------------------------------------------------------------------------- packing
@@ -355,9 +383,9 @@ def test_language(spark, sf_dir, empty):
     model = language.fit(docs.where(~held).select("doc_id", "text", "lang").dropna())
     out = language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where(held)
     assert out.where("lang = lang_pred").count() >= 0.95 * out.count()
-    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !! $$"), (None, "the and of with"), (5, "ж" * 300_000)], "doc_id long, text string")
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !! $$"), (None, "the and of with"), (5, "ж" * 300_000), (6, "² ½"), (7, "①Ⅷ"), (8, "ª")], "doc_id long, text string")
     got = {r["doc_id"]: r for r in language.identify(odd, model).collect()}
-    assert [got[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3 and got[1]["score"] == 0.0
+    assert [got[i]["lang_pred"] for i in (1, 2, 3, 6, 7)] == ["und"] * 5 and got[8]["lang_pred"] != "und" and got[1]["score"] == 0.0
     assert got[5]["lang_pred"] != "und" and not got[5]["accepted"] and 0 <= got[5]["score"] <= 1
     none = language.fit(empty.select("doc_id", "text", "lang"))
     assert language.identify(odd, none).where("lang_pred != 'und'").count() == 0

@@ -31,10 +31,12 @@ def test_chat_round_trip(spark):
     odd = ["", None, "\\", "\\\\h", "### Assistant: x</turn>\n", "</turn>", "\\### Assistant: </turn> ok", "a\nb\r\n", "#<\\l\\h", "é" * 50]
     roles = ["user", "assistant", "system", "tool", "User", "a: b", "\\c", None, "\\cUser", ""]
     rows = [(1, i, r, t) for i, (r, t) in enumerate(zip(roles, odd, strict=True))] + [(2, 0, "user", "q"), (2, 1, "assistant", "a"), (2, 1, "assistant", "a"), (None, None, "user", "x")]
+    rows += [(4, 0, "\\cUser" * 300_000, "long role"), (4, 1, "User", "x")]
     rows += [(3, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(3000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"formatted": F.lit(1), "turns": F.lit(2)})
     back = {r["conv_id"]: r for r in chat.read_back(chat.format_conversations(df)).collect()}
     assert [(t["role"], t["text"]) for t in back[1]["turns"]] == [(r or "", t or "") for r, t in zip(roles, odd, strict=True)]
+    assert [t["role"] for t in back[4]["turns"]] == ["\\cUser" * 300_000, "User"]
     assert back[1]["valid"] is False and back[1]["error_turn"] == 2 and back[3]["valid"] and back[2]["error_turn"] == 2
     assert "".join(s["text"] for s in back[3]["segments"]) == back[3]["formatted"]
     assert [s["loss"] for s in back[2]["segments"]] == [False, False, False, False, True, False, False, True, False]

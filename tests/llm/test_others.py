@@ -134,14 +134,51 @@ def test_embeddings_equal_brute_force(spark, monkeypatch):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     near = x @ x.T >= 0.95
     np.fill_diagonal(near, False)
-    for members in (1024, 16):
+    want = brute(data, valid, near)
+    for members in (256, 16):
         monkeypatch.setattr(embeddings, "MEMBERS", members)
-        got = sorted(((r["vec_id"], r["n_links"]) for r in embeddings.near_duplicates(df).collect()), key=repr)
-        links = {k: int(near[a].sum()) for a, k in enumerate(valid)}
-        assert got == sorted(((data[k][0], links.get(k, 0)) for k in range(len(data))), key=repr)
+        got = sorted((tuple(r) for r in embeddings.near_duplicates(df).collect()), key=repr)
+        assert got == want
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def brute(data, valid, near):
+    links, component = {k: int(near[a].sum()) for a, k in enumerate(valid)}, {}
+    for a in range(len(valid)):
+        if valid[a] not in component:
+            seen, todo = {a}, [a]
+            while todo:
+                for b in np.flatnonzero(near[todo.pop()]).tolist():
+                    if b not in seen:
+                        seen.add(b)
+                        todo.append(b)
+            ids = [data[valid[b]][0] for b in seen if data[valid[b]][0] is not None]
+            component.update({valid[b]: min(ids, default=None) for b in seen})
+    return sorted(((i, links.get(k, 0), c := component.get(k, i), i == c) for k, (i, _) in enumerate(data)), key=repr)
+
+
+def test_rows_that_repeat_an_id(spark):
+    data = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (3, [0.01, 1.0])]
+    got = sorted(tuple(r) for r in embeddings.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>")).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False)]
+
+
+@pytest.mark.parametrize("cone", [0.0, 0.6])
+def test_planted_pairs_are_found(spark, cone):
+    """4,000 vectors, all of them within a cone or none, and 400 pairs just above the threshold."""
+    rng = np.random.default_rng(5)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    axis = unit(rng.standard_normal(64))
+    x = unit(np.sqrt(cone) * axis + np.sqrt(1 - cone) * unit(rng.standard_normal((4000, 64))))
+    side = rng.standard_normal((400, 64))
+    side = unit(side - (side * x[:400]).sum(axis=1, keepdims=True) * x[:400])
+    y = 0.9525 * x[:400] + math.sqrt(1 - 0.9525**2) * side
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([x, y]))]
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    hit = sum(got[4000 + i]["component_id"] == i for i in range(400))
+    assert hit >= 0.98 * 400 and sum(r["n_links"] for r in got.values()) >= 2 * hit
+
+
 def test_passes_follow_the_size():
     assert embeddings.passes_for(10**3, 0.95) < embeddings.passes_for(10**9, 0.95)
 

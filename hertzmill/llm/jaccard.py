@@ -13,13 +13,16 @@
    far plus what can still come is below what the lengths in it require. Overlaps are
    exact. Only links that join two components are emitted, so output is linear.
 
-Hot tokens and clusters are cut into blocks, and blocks meet in pairs of blocks, so that
-no task holds more than two blocks.
+Hot tokens and clusters are cut into blocks. Sets are first compared within their block;
+of what that joins one set stands for all, and these are compared among each other; only
+sets that are then still apart from the largest part of their group meet all its blocks.
+So a large group of near copies takes work in proportion to its size, and nothing that
+could be a link is left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +36,10 @@ BUCKET_BITS = 17
 _LOW = np.uint64(64 - BUCKET_BITS)
 _SIGN = np.uint64(1 << 63)
 LEAST_MAP_BITS = 512
-TOKEN_BLOCK = 4096
-CLUSTER_BLOCK = 512
+TOKEN_BLOCK = 2048
+CLUSTER_BLOCK = 256
+#: Tokens from buckets with more than one in HOT_SHARE of all n-grams, and LEAST_HOT, are counted by partial sums instead of in one window.
+HOT_SHARE, LEAST_HOT = 1 << 15, 4096
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -79,14 +84,14 @@ def _bucket_counts(n: int):
     return task
 
 
-def bucket_ranks(docs: DataFrame, n: int) -> np.ndarray:
-    """New number of each hash bucket, ascending by frequency: at most 2^17 counts reach the driver."""
+def bucket_ranks(docs: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """New number of each hash bucket, ascending by frequency, and the first that is hot: at most 2^17 counts reach the driver."""
     rows = docs.select("text").mapInArrow(_bucket_counts(n), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
     counts[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     ranks = np.empty(len(counts), np.uint64)
     ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
-    return ranks
+    return ranks, int((counts <= max(LEAST_HOT, counts.sum() // HOT_SHARE)).sum())
 
 
 def _ordered(s: np.ndarray, ranks: np.ndarray) -> np.ndarray:
@@ -157,12 +162,15 @@ def _candidates(percent: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
         for run in runs(batches, "key"):
-            ids, n = run["rep"].to_numpy(), run["n"].to_numpy()
+            ids, n, home = run["rep"].to_numpy(), run["n"].to_numpy(), run["home"].to_numpy()
             maps = [np.frombuffer(x, np.uint64) for x in run["map"].to_pylist()]
             width = np.array([len(x) for x in maps])
             step = np.flatnonzero(np.r_[True, width[1:] != width[:-1], True])  # sizes ascend, so widths do
             levels = [(int(a), int(b), np.stack(maps[a:b])) for a, b in zip(step[:-1], step[1:], strict=True)]
-            sets = _Union() if len(ids) > 8 else None
+            sets = _Union()
+            for own, comp in zip(ids.tolist(), run["comp"].to_pylist(), strict=True):
+                if comp is not None:
+                    sets.join(own, comp)
             for j in range(1, len(ids)):
                 i = int(np.searchsorted(n[:j], -(-percent * n[j] // 100)))
                 hits: list = []
@@ -173,7 +181,7 @@ def _candidates(percent: int):
                         both = n[lo:hi] + n[j]
                         hits += (lo + np.flatnonzero(differ <= both - 2 * -(-percent * both // (100 + percent)))).tolist()
                 for h in hits:
-                    if ids[h] != ids[j] and (sets is None or sets.join(int(ids[h]), int(ids[j]))):
+                    if (home[h] or home[j]) and sets.join(int(ids[h]), int(ids[j])):
                         left.append(int(ids[h]))
                         right.append(int(ids[j]))
             if len(left) > 10_000:
@@ -245,20 +253,24 @@ class PrefixTree:
 
 
 def _verified(percent: int):
-    """Runs of one cluster block pair: a spanning forest of the exact links in it."""
+    """Runs of one cluster block: a spanning forest of the exact links in it."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, "key"):
             ids = run["rep"].to_numpy()
             grams = [np.frombuffer(x, np.uint64) for x in run["grams"].to_pylist()]
             order = sorted(range(len(ids)), key=lambda i: (len(grams[i]), ids[i]))
-            tree, sets, out = PrefixTree(percent), _Union(), []
-            for i in order:
+            tree, sets, out, home = PrefixTree(percent), _Union(), [], run["home"].to_numpy()
+            for own, comp in zip(ids.tolist(), run["comp"].to_pylist(), strict=True):
+                if comp is not None:
+                    sets.join(own, comp)
+            for i in sorted(order, key=lambda i: not home[i]):  # sets from other blocks only look up those of this one
                 own = int(ids[i])
                 for other in tree.near(grams[i], lambda x, own=own: sets.root(x) == sets.root(own)):
                     if sets.join(own, other):
                         out.append((own, other))
-                tree.add(grams[i], own)
+                if home[i]:
+                    tree.add(grams[i], own)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
 
@@ -274,16 +286,46 @@ def _grams(n: int, ranks_of):
                 out[i] = _ordered(s, ranks).tobytes()
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                yield pa.RecordBatch.from_arrays([part["rep"], part["cluster"], part["blocks"], pa.array(out[i : i + 512], pa.binary())], ["rep", "cluster", "blocks", "grams"])
+                yield pa.RecordBatch.from_arrays([part["rep"], part["keys"], part["comp"], pa.array(out[i : i + 512], pa.binary())], ["rep", "keys", "comp", "grams"])
 
     return task
 
 
-def _block_keys(key, blocks, row, size: int):
-    """Keys of all pairs of blocks that a row's block belongs to; one key for a single block."""
-    n = F.ceil(blocks / F.lit(size)).cast("int")
-    own = F.pmod(F.xxhash64(row, F.lit(11)), n).cast("int")
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.xxhash64(key, F.least(own, j), F.greatest(own, j)))
+def _keyed(rows: DataFrame, blocks, everywhere) -> DataFrame:
+    """Adds keys, an array of (key, home): the row's own block of its group, or all blocks of it. rows: rep, group, ..."""
+    own = F.pmod(F.xxhash64("rep", F.lit(11)), blocks).cast("int")
+    every = F.when(everywhere, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+    return rows.withColumn("keys", F.transform(every, lambda j: F.struct(F.xxhash64("group", j).alias("key"), (j == own).alias("home"))))
+
+
+def spanning(members: DataFrame, block: int, compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Edges (a, b) that join all members of a group that compare() links, directly or by others.
+
+    members: rep, group and size (rows of the group). compare takes rep, keys (an array of
+    key and home) and comp (what rep is known to be joined with, or null), and gives edges
+    between rows that meet under a key, one of them at home there. Groups of up to
+    ``block`` rows are done at once. See the head of the module for the others.
+    """
+    one = F.ceil(F.col("size") / block).cast("int")
+    edges = materialize(compare(_keyed(members, one, F.lit(False)).select("rep", "keys", F.lit(None).cast("long").alias("comp"))), "near")
+    large = members.where(F.col("size") > block)
+    if large.isEmpty():
+        return edges
+    for last in (False, True):
+        parts = connected_components(edges, "a", "b").withColumnRenamed("node", "rep").withColumnRenamed("component", "comp")
+        rows = large.select("rep", "group").join(parts, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        sized = rows.groupBy("group", "comp").agg(F.count("*").alias("n"), F.min("rep").alias("hub"))
+        groups = sized.groupBy("group").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n")).where("parts > 1")
+        if last:
+            # what isn't in the largest part of its group meets all blocks of it
+            rows = rows.join(groups, "group").select("rep", "group", "comp", F.ceil(F.col("n") / block).cast("int").alias("blocks"), (F.col("comp") != F.col("main")).alias("apart"))
+        else:
+            rows = sized.join(groups.select("group", "parts"), "group").select(F.col("hub").alias("rep"), "group", "comp", F.ceil(F.col("parts") / block).cast("int").alias("blocks"), F.lit(True).alias("apart"))
+        rows = materialize(_keyed(rows, F.col("blocks"), F.col("apart")).select("rep", "keys", "comp"), "apart")
+        if rows.isEmpty():
+            break
+        edges = materialize(edges.unionByName(compare(rows)), "near")
+    return edges
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -299,7 +341,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spark = docs.sparkSession
-    ranks_of = spark.sparkContext.broadcast(bucket_ranks(docs, n))  # 2^17 numbers: 1 MB
+    ranks, first_hot = bucket_ranks(docs, n)
+    ranks_of = spark.sparkContext.broadcast(ranks)  # 2^17 numbers: 1 MB
     described = materialize(docs.mapInArrow(_describe(n, percent, ranks_of), "doc_id long, n long, f1 long, f2 long, prefix array<long>, map binary"), "sets")
     groups = materialize(described.where("n > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "groups")
     reps = materialize(
@@ -307,21 +350,33 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         .select(F.col("doc_id").alias("rep"), "n", "prefix", "map"),
         "reps",
     )
-    tokens = reps.select("rep", "n", F.explode("prefix").alias("token"))
+    tokens = reps.select("rep", "n", F.explode("prefix").alias("group"))
+    rank = F.shiftrightunsigned("group", 64 - BUCKET_BITS)
     # without a set of compatible size next to it in order of size, a set has none under this token
-    group = Window.partitionBy("token")
+    group = Window.partitionBy("group")
     below, above = F.lag("n").over(group.orderBy("n", "rep")), F.lead("n").over(group.orderBy("n", "rep"))
-    sized = tokens.withColumn("docs", F.count("*").over(group)).withColumn("below", below).withColumn("above", above)
-    near = sized.where((F.col("below") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("above") * percent))
-    members = near.select("rep", F.explode(_block_keys(F.col("token"), F.col("docs"), F.col("rep"), TOKEN_BLOCK)).alias("key"))
-    members = members.join(reps.select("rep", "n", "map"), "rep").select("key", "rep", "n", "map")
-    edges = materialize(members.repartition("key").sortWithinPartitions("key", "n", "rep").mapInArrow(_candidates(percent), "a long, b long").distinct(), "near")
-    clusters = connected_components(edges, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.count("*").alias("size"))
-    clusters = materialize(clusters.join(sizes, "cluster").select("rep", "cluster", _block_keys(F.col("cluster"), F.col("size"), F.col("rep"), CLUSTER_BLOCK).alias("blocks")), "clusters")
-    grams = likely_in(docs, "doc_id", clusters, "rep").withColumnRenamed("doc_id", "rep").join(clusters, "rep").mapInArrow(_grams(n, ranks_of), "rep long, cluster long, blocks array<long>, grams binary")
-    pairs = grams.where("grams is not null").select("rep", F.explode("blocks").alias("key"), "grams").repartition("key").sortWithinPartitions("key")
-    links = materialize(pairs.mapInArrow(_verified(percent), "a long, b long"), "links")
+    sized = tokens.where(rank < first_hot).withColumn("size", F.count("*").over(group)).withColumn("below", below).withColumn("above", above)
+    near = sized.where((F.col("below") * 100 >= F.col("n") * percent) | (F.col("n") * 100 >= F.col("above") * percent)).select("rep", "group", "size")
+    hot = tokens.where(rank >= first_hot)
+    counted = hot.groupBy("group").agg(F.count("*").alias("size")).where("size > 1")
+    near = materialize(near.unionByName(hot.join(counted, "group").select("rep", "group", "size")), "members")
+
+    def alike(members: DataFrame) -> DataFrame:
+        rows = members.select("rep", "comp", F.explode("keys").alias("k")).join(reps.select("rep", "n", "map"), "rep").select("k.key", "k.home", "rep", "comp", "n", "map")
+        return rows.repartition("key").sortWithinPartitions("key", "n", "rep").mapInArrow(_candidates(percent), "a long, b long").distinct()
+
+    edges = spanning(near, TOKEN_BLOCK, alike)
+    clusters = connected_components(edges, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("group"))
+    sizes = clusters.groupBy("group").agg(F.count("*").alias("size"))
+    clusters = materialize(clusters.join(sizes, "group"), "clusters")
+
+    def exact(members: DataFrame) -> DataFrame:
+        texts = likely_in(docs, "doc_id", members, "rep").withColumnRenamed("doc_id", "rep").join(members, "rep")
+        grams = texts.mapInArrow(_grams(n, ranks_of), "rep long, keys array<struct<key:long,home:boolean>>, comp long, grams binary").where("grams is not null")
+        rows = grams.select("rep", "comp", F.explode("keys").alias("k"), "grams").select("k.key", "k.home", "rep", "comp", "grams")
+        return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_verified(percent), "a long, b long")
+
+    links = spanning(clusters, CLUSTER_BLOCK, exact)
     found = connected_components(links, "a", "b").select(F.col("node").alias("rep"), "component")
     named = groups.join(found, "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
     out = described.join(named, ["f1", "f2"], "left").select(

@@ -25,6 +25,10 @@ MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 LEAST_SHARED = 1000
+#: Fixed value of the standard: what a revisit record says that it repeats.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Records are looked up by 64 KB of their file when the pieces inside them are searched for.
+BIN_BITS = 16
 STAMP = "1970-01-01T00:00:00Z"
 
 
@@ -68,6 +72,7 @@ def write_warc(pages: DataFrame, path: str) -> None:
         _field("WARC-Date", F.lit(STAMP)),
         _field("WARC-Target-URI", F.regexp_replace("url", r"[\x00-\x1F\x7F]", "")),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        _field("WARC-Profile", F.when(F.col("record_type") == "revisit", F.lit(PROFILE))),
         _field("WARC-Refers-To", F.when(F.col("refers_to").isNotNull(), _urn(F.col("refers_to")))),
         F.lit("Content-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.octet_length(body).cast("string"),
@@ -118,15 +123,16 @@ def _reachable(candidates: DataFrame) -> DataFrame:
     candidates: file, at, after (offset of the successor). Each round doubles the
     number of steps that a jump takes, so a chain of n records takes log2(n) rounds.
     """
+    # these tables grow with the records: joined by shuffle, never broadcast
     nodes = candidates.select("file", "at")
-    jump = materialize(candidates.join(nodes.withColumnRenamed("at", "after"), ["file", "after"], "left_semi").select("file", "at", "after"), "jump")
+    jump = materialize(candidates.join(nodes.withColumnRenamed("at", "after").hint("merge"), ["file", "after"], "left_semi").select("file", "at", "after"), "jump")
     reached = candidates.where("at = 0").select("file", "at")
     while not jump.isEmpty():
-        ahead = reached.join(jump, ["file", "at"]).select("file", F.col("after").alias("at"))
+        ahead = reached.join(jump.hint("merge"), ["file", "at"]).select("file", F.col("after").alias("at"))
         old = reached, jump
         reached = materialize(reached.unionByName(ahead), "reached")
         onward = jump.select("file", F.col("at").alias("after"), F.col("after").alias("then"))
-        jump = materialize(jump.join(onward, ["file", "after"]).select("file", "at", F.col("then").alias("after")), "jump")
+        jump = materialize(jump.join(onward.hint("merge"), ["file", "after"]).select("file", "at", F.col("then").alias("after")), "jump")
         for table in old:
             discard(table)
     return reached
@@ -150,14 +156,20 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     http = F.octet_length(F.substring_index(F.substr("value", F.length(head) + len(END) + 1), END, 1)) + len(END)
     after = F.col("at") + len(MAGIC) + F.octet_length(head) + 2 * len(END) + length
     refers = field(r"WARC-Refers-To: <urn:page:(-?\d+)>").cast("long")
-    found = pieces.where(F.col("value").startswith("WARC-Type: ") & length.isNotNull())
+    good = F.col("value").startswith("WARC-Type: ") & length.isNotNull()
     columns = [page.alias("page"), digest.alias("digest"), kind.alias("kind"), refers.alias("refers"), (length - http).alias("bytes")]
-    candidates = materialize(found.select("file", "at", after.alias("after"), *columns), "candidates")
-    reached = _reachable(candidates.select("file", "at", "after")).withColumn("start", F.col("at"))
+    marks = materialize(pieces.select("file", "at", good.alias("good"), F.when(good, after).alias("after"), *columns), "marks")
+    candidates = marks.where("good")
+    reached = materialize(_reachable(candidates.select("file", "at", "after")), "reached")
+    true = materialize(candidates.join(reached.hint("merge"), ["file", "at"], "left_semi"), "records")
     # pieces that begin no record are few: payloads are read again, not dealt out, to part them from the others
-    owner = F.last("start", ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    odd = pieces.select("file", "at").join(reached, ["file", "at"], "left").withColumn("owner", owner).where("start is null")
-    odd = materialize(odd.select("file", "at", "owner"), "odd")
+    odd = marks.select("file", "at").join(reached.hint("merge"), ["file", "at"], "left_anti")
+    last = marks.groupBy("file").agg(F.max("at").alias("last"))  # a row a file
+    spans = true.join(last, "file").select("file", F.col("at").alias("owner"), F.least("after", F.col("last") + 1).alias("until"))
+    spans = spans.withColumn("bin", F.explode(F.sequence(F.shiftright("owner", BIN_BITS), F.shiftright(F.greatest(F.col("until") - 1, "owner"), BIN_BITS))))
+    odd = odd.withColumn("bin", F.shiftright("at", BIN_BITS)).join(spans.hint("merge"), ["file", "bin"], "left")
+    inside = F.when((F.col("owner") < F.col("at")) & (F.col("at") < F.col("until")), F.col("owner"))
+    odd = materialize(odd.groupBy("file", "at").agg(F.max(inside).alias("owner")), "odd")
     inner = pieces.join(odd.where("owner is not null"), ["file", "at"])
     more = inner.groupBy("file", F.col("owner").alias("at")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: F.concat(F.lit(MAGIC), x["value"])), "").alias("more"))
     records = pieces.join(odd.select("file", "at"), ["file", "at"], "left_anti").join(materialize(more, "more"), ["file", "at"], "left").withColumn("value", F.concat("value", F.coalesce("more", F.lit(""))))
@@ -171,10 +183,9 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         refers.alias("refers_to"),
         F.when(kind == "response", payload).alias("payload"),
     )
-    true = candidates.join(reached.select("file", "at"), ["file", "at"])
     wanted = true.where("kind = 'revisit'").select(F.col("refers").alias("refers_to"), F.col("digest").alias("payload_digest")).distinct()
     held = true.where("kind = 'response'").groupBy(F.col("page").alias("refers_to"), F.col("digest").alias("payload_digest")).agg(F.max("bytes").alias("held"))
-    held = materialize(held.join(wanted, ["refers_to", "payload_digest"]), "held")
+    held = materialize(held.join(wanted.hint("merge"), ["refers_to", "payload_digest"]), "held")
     records = records.join(held, ["refers_to", "payload_digest"], "left")
     size = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long")).otherwise(F.col("held"))
     ok = F.col("payload").isNull() | (F.sha1("payload") == F.col("payload_digest"))

@@ -88,14 +88,15 @@ def _(t):
     return L.rank(L.channels_at(t.sightings, slim(t.channels)), "sighting_id", "id").select("sighting_id", "id", "rank")
 
 
-@query("l7_top_n", f"SELECT * FROM ({RANKED}) x WHERE rank <= 3")
+@query("l7_top_n", f"SELECT * FROM ({RANKED}) x WHERE rank <= 32")
 def _(t):
-    return L.top_n(L.channels_at(t.sightings, slim(t.channels)), "sighting_id", "id", 3).select("sighting_id", "id", "rank")
+    return L.top_n(L.channels_at(t.sightings, slim(t.channels)), "sighting_id", "id").select("sighting_id", "id", "rank")
 
 
 @query("l7_top_1", f"SELECT * FROM ({RANKED}) x WHERE rank <= 1")
 def _(t):
-    return L.top_n(L.channels_at(t.sightings, slim(t.channels)), "sighting_id", "id", 1).select("sighting_id", "id", "rank")
+    met = L.narrowest_at(t.sightings, slim(t.channels), "id").where("match is not null")
+    return met.select("sighting_id", "match.id", F.lit(1).alias("rank"))
 
 
 @query("l8_count_matches", "SELECT span_id, count(c.id) AS n_matches FROM spans s LEFT JOIN channels c ON c.lo_hz < s.hi_hz AND c.hi_hz > s.lo_hz AND s.lo_hz < s.hi_hz GROUP BY span_id")
@@ -138,11 +139,11 @@ def _(t):
 
 
 SUMMARY = f"""
-WITH {LABELS},
-c AS (SELECT sighting_id, arg_min(name, (hi_hz - lo_hz, lo_hz, hi_hz, id)) AS name FROM SIGHTINGS JOIN channels ON lo_hz <= hz AND hz < hi_hz GROUP BY sighting_id),
-u AS (SELECT sighting_id, arg_min(b.band_id, (hi_hz - lo_hz, lo_hz, hi_hz, b.band_id)) AS band_id FROM SIGHTINGS JOIN bands b ON lo_hz <= hz AND hz < hi_hz WHERE jurisdiction LIKE 'us%' GROUP BY sighting_id)
+WITH {LABELS}, p AS (SELECT DISTINCT hz FROM SIGHTINGS),
+c AS (SELECT hz, arg_min(name, (hi_hz - lo_hz, lo_hz, hi_hz, id)) AS name FROM p JOIN channels ON lo_hz <= hz AND hz < hi_hz GROUP BY hz),
+u AS (SELECT hz, arg_min(b.band_id, (hi_hz - lo_hz, lo_hz, hi_hz, b.band_id)) AS band_id FROM p JOIN bands b ON lo_hz <= hz AND hz < hi_hz WHERE jurisdiction LIKE 'us%' GROUP BY hz)
 SELECT s.sighting_id, COALESCE(c.name, NULLIF(l.label, ''), 'No allocation on record') AS summary
-FROM SIGHTINGS s LEFT JOIN c ON c.sighting_id = s.sighting_id LEFT JOIN u ON u.sighting_id = s.sighting_id LEFT JOIN labels l ON l.band_id = u.band_id"""
+FROM SIGHTINGS s LEFT JOIN c ON c.hz = s.hz LEFT JOIN u ON u.hz = s.hz LEFT JOIN labels l ON l.band_id = u.band_id"""
 
 
 @query("l14_summary", SUMMARY.replace("SIGHTINGS", "sightings"))
@@ -185,7 +186,7 @@ def _(t):
 
 
 @query("l18_answer", f"""
-WITH {SAID}, {NOTES}, ids AS (SELECT band_id, string_agg(id, ',' ORDER BY id) AS f FROM notes GROUP BY band_id),
+WITH {SAID}, {NOTES}, ids AS (SELECT band_id, string_agg(id || '=' || class || '=' || text, ',' ORDER BY id) AS f FROM notes GROUP BY band_id),
 c AS (SELECT span_id, string_agg(id, ';' ORDER BY c.hi_hz - c.lo_hz, c.lo_hz, c.hi_hz, id) AS channels FROM spans s JOIN channels c ON c.lo_hz < s.hi_hz AND c.hi_hz > s.lo_hz AND s.lo_hz < s.hi_hz GROUP BY span_id),
 b AS (SELECT span_id, string_agg(b.band_id || '/' || services || '/' || COALESCE(f, ''), ';' ORDER BY b.hi_hz - b.lo_hz, b.lo_hz, b.hi_hz, b.band_id) AS bands
       FROM spans s JOIN said b ON b.lo_hz < s.hi_hz AND b.hi_hz > s.lo_hz AND s.lo_hz < s.hi_hz LEFT JOIN ids i ON i.band_id = b.band_id GROUP BY span_id),
@@ -196,7 +197,7 @@ FROM spans s LEFT JOIN c ON c.span_id = s.span_id LEFT JOIN b ON b.span_id = s.s
 def _(t):
     out = L.answer(spans(t), t.channels.select("id", "lo_hz", "hi_hz", "name"), t.bands, t.services, t.band_footnote, t.footnote_defs, t.rule_parts, "span_id")
     service = lambda s: F.concat_ws(":", s["ordinal"].cast("string"), s["name"], s["is_primary"].cast("string"))
-    band = lambda b: F.concat_ws("/", b["band_id"].cast("string"), F.array_join(F.transform(b["services"], service), "|"), F.array_join(b["footnotes"], ","))
+    band = lambda b: F.concat_ws("/", b["band_id"].cast("string"), F.array_join(F.transform(b["services"], service), "|"), F.array_join(F.transform(b["footnotes"], lambda n: F.concat_ws("=", n["id"], n["class"], n["text"])), ","))
     return out.select(
         "span_id", F.array_join(F.transform("channels", lambda c: c["id"]), ";").alias("channels"), F.array_join(F.transform("bands", band), ";").alias("bands"),
         F.array_join(F.transform("rule_parts", lambda r: F.concat_ws(" ", r["part"], r["name"])), ";").alias("rule_parts"),
@@ -258,11 +259,11 @@ def _(t):
 
 
 BROKEN = """SELECT CASE WHEN CAST(substr(id, 4) AS BIGINT) % 50 = 0 THEN 'ch-1' ELSE id END AS id, CASE WHEN CAST(substr(id, 4) AS BIGINT) % 71 = 0 THEN 'xx' ELSE jurisdiction END AS jurisdiction,
-lo_hz, CASE WHEN CAST(substr(id, 4) AS BIGINT) % 37 = 0 THEN lo_hz ELSE hi_hz END AS hi_hz, CASE WHEN CAST(substr(id, 4) AS BIGINT) % 61 = 0 THEN ' ' ELSE service END AS source FROM channels"""
+CASE WHEN CAST(substr(id, 4) AS BIGINT) % 43 = 0 THEN NULL ELSE lo_hz END AS lo_hz, CASE WHEN CAST(substr(id, 4) AS BIGINT) % 37 = 0 THEN lo_hz WHEN CAST(substr(id, 4) AS BIGINT) % 47 = 0 THEN NULL ELSE hi_hz END AS hi_hz, CASE WHEN CAST(substr(id, 4) AS BIGINT) % 61 = 0 THEN ' ' ELSE service END AS source FROM channels"""
 
 
 @query("v8_channel_errors", f"""WITH b AS ({BROKEN}) SELECT id, 'duplicate id' AS reason FROM b GROUP BY id HAVING count(*) > 1
-UNION ALL SELECT id, 'unknown jurisdiction' FROM b WHERE jurisdiction NOT IN ('us', 'eu') UNION ALL SELECT id, 'lo >= hi' FROM b WHERE lo_hz >= hi_hz UNION ALL SELECT id, 'blank source' FROM b WHERE trim(source) = ''""")
+UNION ALL SELECT id, 'unknown jurisdiction' FROM b WHERE jurisdiction NOT IN ('us', 'eu') UNION ALL SELECT id, 'unreadable frequency' FROM b WHERE lo_hz IS NULL OR hi_hz IS NULL UNION ALL SELECT id, 'lo >= hi' FROM b WHERE lo_hz >= hi_hz UNION ALL SELECT id, 'blank source' FROM b WHERE trim(source) = ''""")
 def _(t):
     return V.channel_errors(t.sql(BROKEN))
 
@@ -605,11 +606,7 @@ def _(t):
 # --------------------------------------------------------------------- sources, sinks
 def _scratch(t: Tables, name: str) -> str:
     """A folder all executors share, for queries that write and read back."""
-    import tempfile
-    import uuid
-
-    base = t.spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-hertzmill-")
-    return f"{base.rstrip('/')}/hertzmill-io-{uuid.uuid4().hex}/{name}"
+    return S.shared_path(t.spark, name)
 
 
 @query("s1_read_channels", "SELECT id, jurisdiction, lo_hz, hi_hz, name || ', \"x\"' AS name, service FROM channels")
@@ -622,11 +619,11 @@ def _(t):
     return S.read_channels(t.spark, path).select("id", "jurisdiction", "lo_hz", "hi_hz", "name", "service")
 
 
-@query("s2_read_grid", "SELECT doc_id, table_index, row_index, cell_index, text FROM grid_cells WHERE table_index < 40")
+@query("s2_read_grid", "SELECT doc_id, table_index, row_index, cell_index, text FROM grid_cells WHERE table_index < 61")
 def _(t):
     path = _scratch(t, "grid")
     t.grid_cells.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in S.GRID.split(", ")]).write.parquet(path)
-    return S.read_grid(t.spark, path, 40).select("doc_id", "table_index", "row_index", "cell_index", "text")
+    return S.read_grid(t.spark, path).select("doc_id", "table_index", "row_index", "cell_index", "text")
 
 
 @query("s2_read_blocks", "SELECT doc_id, CAST(block_index AS INTEGER) AS block_index, kind, text FROM blocks")
@@ -675,7 +672,13 @@ def _(t):
 # ------------------------------------------------------------------------- the stream
 @query("t1_summary_stream", SUMMARY.replace("SIGHTINGS", "sightings_low"))
 def _(t):
-    """The stream's static plan, on the same rows: a stream can't be returned as a result."""
+    """A stream over files of sightings, run to their end; the sink is what is returned."""
     from .streaming.summary import summary_stream
 
-    return summary_stream(t.sightings_low, t.channels, t.bands, t.services).select("sighting_id", "summary")
+    path = _scratch(t, "stream")
+    rows = t.sightings_low.select("sighting_id", "hz")
+    rows.write.parquet(f"{path}/in")
+    out = summary_stream(t.spark.readStream.schema(rows.schema).parquet(f"{path}/in"), t.channels, t.bands, t.services)
+    run = out.select("sighting_id", "summary").writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/out")
+    run.awaitTermination()
+    return t.spark.read.schema("sighting_id long, summary string").parquet(f"{path}/out")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hertz import jurisdictions
-from ..plans.intervals import MANY, cut, highest_edge, least_in, point_join, segment_lookup, span_join
+from ..plans.intervals import MANY, cut, highest_edge, least_at, least_in, point_join, segment_lookup, span_join
 
 NO_RECORD = "No allocation on record"
 NO_TEXT = "(not reproduced in the FCC source document)"
@@ -66,6 +66,14 @@ def top_n(matches: DataFrame, probe_id: str, item: str, n: int = 32) -> DataFram
     return best.select(probe_id, "m.*").withColumn("rank", F.lit(1))
 
 
+def narrowest_at(sightings: DataFrame, intervals: DataFrame, item: str) -> DataFrame:
+    """L7 for one match, without the join: the columns of sightings (hz) and match, a struct of all
+    columns of the narrowest interval (ties as in L6), null where none covers the point."""
+    rest = [c for c in intervals.columns if c not in (item, "lo_hz", "hi_hz")]
+    order = F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), "lo_hz", "hi_hz", item, *rest)
+    return sightings.join(least_at(sightings, intervals, order, "match"), "hz", "left")
+
+
 def count_matches(probes: DataFrame, intervals: DataFrame, probe_id: str) -> DataFrame:
     """Number of overlapping intervals of each span (p_lo, p_hi), 0 if none or empty, without the join.
 
@@ -86,19 +94,23 @@ def _rank_of(probes: DataFrame, edges: DataFrame, probe_id: str, strict: bool) -
 
     Edges are summed by cell of 2^24 Hz; a probe adds the sum of the cells before its own,
     known per cell, and its rank inside the cell, a running sum over that cell alone.
+    Equal edges and equal probes are one row each, so a cell has 2^25 rows at most.
     """
+    asked, probes = probes, probes.select("x").distinct()
+    edges = edges.groupBy("x").agg(F.count("*").alias("edge"))
     cell = F.call_function("shiftright", F.col("x"), F.lit(24))
-    here = edges.groupBy(cell.alias("cell")).agg(F.count("*").alias("here")).unionByName(probes.select(cell.alias("cell")).distinct().withColumn("here", F.lit(0).cast("long")))
+    here = edges.groupBy(cell.alias("cell")).agg(F.sum("edge").alias("here")).unionByName(probes.select(cell.alias("cell")).distinct().withColumn("here", F.lit(0).cast("long")))
     cells = here.groupBy("cell").agg(F.sum("here").alias("here")).withColumn("g", F.call_function("shiftright", F.col("cell"), F.lit(12)))
     totals = cells.groupBy("g").agg(F.sum("here").alias("total"))
     base = totals.select("g", (F.sum("total").over(Window.orderBy("g")) - F.col("total")).alias("base"))  # one row for 69 GHz
     before = cells.join(base, "g").select("cell", (F.col("base") + F.sum("here").over(Window.partitionBy("g").orderBy("cell")) - F.col("here")).alias("before"))
-    tagged = edges.select("x", F.lit(int(strict)).alias("turn"), F.lit(None).cast("long").alias("id"), F.lit(1).alias("edge")).unionByName(
-        probes.select("x", F.lit(int(not strict)).alias("turn"), F.col(probe_id).cast("long").alias("id"), F.lit(0).alias("edge"))
+    tagged = edges.select("x", F.lit(int(strict)).alias("turn"), F.lit(False).alias("asked"), "edge").unionByName(
+        probes.select("x", F.lit(int(not strict)).alias("turn"), F.lit(True).alias("asked"), F.lit(0).cast("long").alias("edge"))
     )
     order = Window.partitionBy("cell").orderBy("x", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    inside = tagged.withColumn("cell", cell).withColumn("n", F.sum("edge").over(order)).where("edge = 0")
-    return inside.join(before, "cell").select(F.col("id").alias(probe_id), (F.col("before") + F.col("n")).alias("n"))
+    inside = tagged.withColumn("cell", cell).withColumn("n", F.sum("edge").over(order)).where("asked")
+    ranks = inside.join(before, "cell").select("x", (F.col("before") + F.col("n")).alias("n"))
+    return asked.join(ranks, "x").select(probe_id, "n")
 
 
 def services_label(services: DataFrame, kind: str = "serving") -> DataFrame:
@@ -165,19 +177,26 @@ def with_summaries(sightings: DataFrame, channels: DataFrame, bands: DataFrame,
 
 
 def summary(sightings: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame, how: str = "segments") -> DataFrame:
-    """One line for each sighting: sighting_id and summary.
+    """One line for each row of sightings, repeated ids included: sighting_id and summary.
 
     The narrowest channel's name; else the services of the narrowest US band (federal
     or not; ties by lo, hi, band); else, also if that band has no services, the default.
-    how: segments (no shuffle of sightings, no ranking), or a plan of point_join.
+    how: segments (no shuffle of sightings, no ranking), dyadic (least intervals of each
+    different frequency) or broadcast (all pairs, then the least; for few intervals).
     """
     if how == "segments":
         return with_summaries(sightings, channels, bands, services).select("sighting_id", "summary")
     points = sightings.select("sighting_id", "hz")
-    best = top_n(channels_at(points, channels.select("id", "name", "lo_hz", "hi_hz"), how), "sighting_id", "id", 1).select("sighting_id", "name")
-    us = bands.where(F.col("jurisdiction").startswith("us")).select("band_id", "lo_hz", "hi_hz")
-    first = top_n(point_join(points, us, how=how), "sighting_id", "band_id", 1).select("sighting_id", "band_id").join(services_label(services), "band_id", "left")
-    out = points.join(best, "sighting_id", "left").join(first.select("sighting_id", "label"), "sighting_id", "left")
+    channels = channels.select("id", "name", "lo_hz", "hi_hz")
+    us = bands.where(F.col("jurisdiction").startswith("us")).join(services_label(services), "band_id", "left").select("band_id", "label", "lo_hz", "hi_hz")
+    if how == "broadcast":
+        probe = points.select("hz").distinct()
+        best = top_n(channels_at(probe, channels, how), "hz", "id", 1).select("hz", "name")
+        first = top_n(point_join(probe, us, how=how), "hz", "band_id", 1).select("hz", "label")
+    else:
+        best = narrowest_at(points.select("hz").distinct(), channels, "id").select("hz", "match.name")
+        first = narrowest_at(points.select("hz").distinct(), us, "band_id").select("hz", "match.label")
+    out = points.join(best, "hz", "left").join(first, "hz", "left")
     return out.select("sighting_id", F.coalesce("name", F.when(F.col("label") != "", F.col("label")), F.lit(NO_RECORD)).alias("summary"))
 
 
@@ -210,14 +229,15 @@ def answer(probes: DataFrame, channels: DataFrame, bands: DataFrame, services: D
     """One row a probe with arrays channels, bands (services and footnotes in them) and rule_parts.
 
     Arrays are narrowest first (rule parts by number) and empty where nothing matches.
-    Services and footnotes are attached to bands before the join with probes.
+    Services and footnotes (id, class and text, by id) are attached to bands before the
+    join with probes; an undefined footnote is left out.
     """
     join = point_join if "hz" in probes.columns else span_join
     keys = [c for c in ("hz", "p_lo", "p_hi") if c in probes.columns]
     slim = probes.select(probe_id, *keys)
-    notes = band_footnotes(bands, bridge, footnotes).groupBy("band_id").agg(F.array_sort(F.collect_set("id")).alias("footnotes"))
+    notes = band_footnotes(bands, bridge, footnotes).groupBy("band_id").agg(F.array_sort(F.collect_list(F.struct("id", "class", "text"))).alias("footnotes"))
     rich = _with_names(band_services(bands.select("band_id", "jurisdiction", "lo_hz", "hi_hz"), services).join(notes, "band_id", "left"))
-    rich = rich.withColumn("footnotes", F.coalesce("footnotes", F.array().cast("array<string>")))
+    rich = rich.withColumn("footnotes", F.coalesce("footnotes", F.array().cast("array<struct<id:string,class:string,text:string>>")))
 
     def gathered(items: DataFrame, item: str, name: str) -> DataFrame:
         shown = F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), "lo_hz", "hi_hz", item, *[c for c in items.columns if c not in ("lo_hz", "hi_hz", item)])

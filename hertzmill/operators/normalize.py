@@ -12,12 +12,20 @@ def number_bands(bands: DataFrame, order: list[str], slice_by: str = "doc_id") -
     """Dense band_id from 1 in document order.
 
     Rows are counted by slice_by, the first part of the order; a band's number is what
-    earlier slices hold plus its place in its own, so no window runs over all rows.
+    earlier slices hold plus its place in its own. Slices are summed by groups first (65,536
+    integers, or texts that begin with the same four characters), so no window runs over
+    all rows or all slices.
     """
-    sizes = bands.groupBy(slice_by).agg(F.count("*").alias("_n"))
-    before = sizes.select(slice_by, (F.sum("_n").over(Window.orderBy(slice_by)) - F.col("_n")).alias("_before"))  # one row a slice
+    integral = dict(bands.dtypes)[slice_by] in ("tinyint", "smallint", "int", "bigint")
+    group = F.shiftright(F.col(slice_by).cast("long"), 16) if integral else F.substring(F.col(slice_by).cast("string"), 1, 4)
+    sizes = bands.groupBy(slice_by).agg(F.count("*").alias("_n")).withColumn("_group", group)
+    groups = sizes.groupBy("_group").agg(F.sum("_n").alias("_all"))
+    groups = groups.select("_group", (F.sum("_all").over(Window.orderBy("_group")) - F.col("_all")).alias("_base"))  # one row a group
+    inside = F.sum("_n").over(Window.partitionBy("_group").orderBy(slice_by)) - F.col("_n")
+    before = sizes.withColumn("_inside", inside).join(groups, sizes["_group"].eqNullSafe(groups["_group"])).select(F.col(slice_by).alias("_slice"), (F.col("_inside") + F.col("_base")).alias("_before"))
     place = F.row_number().over(Window.partitionBy(slice_by).orderBy(*order))
-    return bands.join(before, slice_by).withColumn("band_id", (F.col("_before") + place).cast("long")).drop("_before")
+    out = bands.withColumn("_place", place).join(before, F.col(slice_by).eqNullSafe(F.col("_slice")))
+    return out.select(*[bands[c] for c in bands.columns], (F.col("_before") + F.col("_place")).cast("long").alias("band_id"))
 
 
 def service_rows(bands: DataFrame) -> DataFrame:
@@ -41,10 +49,8 @@ def footnote_dim(bridge: DataFrame, definitions: DataFrame) -> DataFrame:
 
 def meta(bands: DataFrame, channels: DataFrame, definitions: DataFrame, rule_parts: DataFrame, revision: str = "unknown") -> DataFrame:
     """Key and value: counts, revision and conventions."""
-    spark = bands.sparkSession
-    out = None
-    for key, df in (("band_count", bands), ("channel_count", channels), ("footnote_count", definitions), ("rule_part_count", rule_parts)):
-        row = df.agg(F.count("*").cast("string").alias("value")).select(F.lit(key).alias("key"), "value")
-        out = row if out is None else out.unionByName(row)
     fixed = [("source_revision", revision), ("frequency_unit", "hertz"), ("interval_convention", "half-open [lo_hz, hi_hz)")]
-    return out.unionByName(spark.createDataFrame(fixed, "key string, value string"))
+    out = bands.sparkSession.createDataFrame(fixed, "key string, value string")
+    for key, df in (("band_count", bands), ("channel_count", channels), ("footnote_count", definitions), ("rule_part_count", rule_parts)):
+        out = out.unionByName(df.agg(F.count("*").cast("string").alias("value")).select(F.lit(key).alias("key"), "value"))
+    return out

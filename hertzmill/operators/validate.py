@@ -24,8 +24,8 @@ def dedupe_restated(bands: DataFrame, *by: str) -> DataFrame:
     return bands.groupBy(*keys).agg(F.min_by(F.struct(*rest), "seq").alias("x")).select(*keys, "x.*")
 
 
-#: Bands up to here are checked in one window per jurisdiction; more are cut at multiples of this.
-STEP_HZ = 1 << 33
+#: Width of the slices of a jurisdiction that are checked in one window each.
+STEP_HZ = 1 << 24
 
 
 def _with_previous(bands: DataFrame, *by: str) -> DataFrame:
@@ -93,9 +93,10 @@ class ChannelError(ValueError):
 
 
 def channel_errors(channels: DataFrame, strict: bool = False) -> DataFrame:
-    """V8: (id, reason) for ids in several rows, unknown jurisdictions, lo >= hi and blank sources.
+    """V8: (id, reason) for ids in several rows, unknown jurisdictions, unreadable frequencies, lo >= hi and blank sources.
 
-    strict: raises if there is any of the first three.
+    An unreadable frequency is a null edge, which mhz_to_hz() gives. strict: raises if
+    there is any but a blank source.
     """
     known = jurisdictions(channels.sparkSession).select(F.col("id").alias("jurisdiction"))
 
@@ -105,9 +106,10 @@ def channel_errors(channels: DataFrame, strict: bool = False) -> DataFrame:
     found = [
         reason(channels.groupBy("id").agg(F.count("*").alias("n")).where("n > 1"), "duplicate id"),
         reason(channels.join(F.broadcast(known), "jurisdiction", "left_anti"), "unknown jurisdiction"),  # seven rows
+        reason(channels.where("lo_hz is null or hi_hz is null"), "unreadable frequency"),
         reason(malformed(channels), "lo >= hi"),
     ]
-    errors = found[0].unionByName(found[1]).unionByName(found[2])
+    errors = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
     if strict and (first := errors.orderBy("reason", "id").first()):
         raise ChannelError(f"{first['reason']}: {first['id']}")
     if "source" in channels.columns:
@@ -137,12 +139,13 @@ def expect_at(expectations: DataFrame, bands: DataFrame, services: DataFrame) ->
     edges, and its service names, joined by spaces, the text. No band: not passed.
     """
     names = services.groupBy("band_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "name"))), lambda x: x["name"]), " ").alias("names"))
-    wanted = expectations.withColumnRenamed("jurisdiction", "want_jurisdiction")
-    met = point_join(wanted, bands).where(F.col("jurisdiction") == F.col("want_jurisdiction"))
-    keys = ["hz", "want_jurisdiction", "want_lo", "want_hi", "contains"]
+    keys = ["hz", "jurisdiction", "want_lo", "want_hi", "contains"]
+    met = point_join(expectations.select(*keys).distinct(), bands, on=("jurisdiction",))
     first = met.groupBy(*keys).agg(F.min_by(F.struct("band_id", "lo_hz", "hi_hz"), "seq").alias("b")).select(*keys, "b.*").join(names, "band_id", "left")
     fits = (F.col("lo_hz") == F.col("want_lo")) & (F.col("hi_hz") == F.col("want_hi")) & F.coalesce(F.contains("names", "contains"), F.lit(False))
-    return wanted.join(first.withColumn("passed", fits).select(*keys, "passed"), keys, "left").withColumn("passed", F.coalesce("passed", F.lit(False))).withColumnRenamed("want_jurisdiction", "jurisdiction")
+    told = first.withColumn("passed", fits).select(*[F.col(k).alias(f"_{k}") for k in keys], "passed")
+    same = [expectations[k].eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return expectations.join(told, same, "left").select(*[expectations[c] for c in expectations.columns], F.coalesce("passed", F.lit(False)).alias("passed"))
 
 
 def diff_builds(a: DataFrame, b: DataFrame) -> DataFrame:

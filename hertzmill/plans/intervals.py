@@ -5,11 +5,15 @@ Three plans with equal results:
 * ``broadcast``: nested loop against a broadcast interval side. Only behind a count of
   the intervals, ``FEW`` at most.
 * ``dyadic``: every interval goes to the one or two bins of its own power-of-two level; a
-  point is looked up in one bin of each level that occurs. An equi-join, so it shuffles,
-  spills and balances like any other, however wide single intervals are.
+  point is looked up in one bin of each level that occurs: an equi-join. Upper levels have
+  few bins, so points of a bin are dealt to several keys there and its intervals repeated.
 * ``segments``: the edges of all intervals cut the axis into disjoint segments, each with
   the ranked intervals that cover it. A point has exactly one segment, so ranking is
   done once on the static side; works on streams.
+
+Where only the least interval over a point is asked for, no pair is made: an interval is
+the union of at most two dyadic nodes a level, each node keeps its least interval, and a
+point takes the least of its ancestors.
 """
 
 from __future__ import annotations
@@ -41,28 +45,43 @@ def binned(intervals: DataFrame, lo: str = "lo_hz", hi: str = "hi_hz") -> DataFr
     return with_level.withColumn("_bin", F.explode(F.sequence(_shift(F.col(lo), F.col("_level")), _shift(F.col(hi) - 1, F.col("_level")))))
 
 
+#: Keys that the points of a level are dealt to at least, where its bins are fewer.
+SPREAD = 256
+
+
+def _copies(level: Column, top: int) -> Column:
+    """Keys for each bin of a level whose bins go up to top."""
+    bins = _shift(F.lit(top), level) + 1
+    return F.greatest(F.lit(1), F.floor(F.lit(SPREAD) / bins)).cast("int")
+
+
 def levels(intervals: DataFrame, lo: str = "lo_hz", hi: str = "hi_hz") -> list[int]:
     """The levels that occur: 64 at most, whatever the number of intervals."""
     rows = intervals.where(F.col(lo) < F.col(hi)).select(level_of(F.col(lo), F.col(hi)).alias("n")).distinct().collect()
     return sorted(r["n"] for r in rows)
 
 
-def point_join(points: DataFrame, intervals: DataFrame, hz: str = "hz", how: str | None = None) -> DataFrame:
+def point_join(points: DataFrame, intervals: DataFrame, hz: str = "hz", how: str | None = None, on: tuple[str, ...] = ()) -> DataFrame:
     """All (point, interval) pairs with lo_hz <= hz < hi_hz; columns of both sides.
 
-    Column names must differ but for those of the plan. Null points match nothing. how:
-    broadcast, dyadic or None: by a count of the intervals.
+    Column names must differ but for those of the plan and for ``on``, columns that must be
+    equal. Null points match nothing. how: broadcast, dyadic or None: by a count of the
+    intervals.
     """
     few = how == "broadcast" or how is None and intervals.limit(FEW + 1).count() <= FEW
+    within = (F.col("lo_hz") <= F.col(hz)) & (F.col(hz) < F.col("hi_hz"))
     if few:
-        return points.join(F.broadcast(intervals.where("lo_hz < hi_hz")), (F.col("lo_hz") <= F.col(hz)) & (F.col(hz) < F.col("hi_hz")))
+        small = F.broadcast(intervals.where("lo_hz < hi_hz"))
+        return points.join(small, list(on)).where(within) if on else points.join(small, within)
     present = levels(intervals)
     probe = points.where(F.col(hz).isNotNull())
     if not present:
-        return probe.join(intervals.where("false"), F.lit(True))
+        return probe.join(intervals.where("false"), list(on) or F.lit(True))
+    copies = _copies(F.col("_level"), highest_edge(intervals))
     probe = probe.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in present]))).withColumn("_bin", _shift(F.col(hz), F.col("_level")))
-    met = probe.join(binned(intervals), ["_level", "_bin"])
-    return met.where((F.col("lo_hz") <= F.col(hz)) & (F.col(hz) < F.col("hi_hz"))).drop("_level", "_bin")
+    probe = probe.withColumn("_copy", F.pmod(F.xxhash64(*points.columns), copies).cast("int"))
+    repeated = binned(intervals).withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
+    return probe.join(repeated, ["_level", "_bin", "_copy", *on]).where(within).drop("_level", "_bin", "_copy")
 
 
 def span_join(spans: DataFrame, intervals: DataFrame, how: str | None = None) -> DataFrame:
@@ -99,14 +118,14 @@ def cut(*layers: DataFrame) -> DataFrame:
     return next_edge(edges.where("s_lo >= 0").distinct())
 
 
-#: next_edge() looks for neighbours within so many hertz, then among the parts.
-PART_BITS = 33
+#: next_edge() looks for neighbours within so many hertz (so many edges at most), then among the parts.
+PART_BITS = 24
 
 
 def next_edge(edges: DataFrame) -> DataFrame:
     """Adds s_hi, the next larger s_lo (TOP at the end), without a window over all rows.
 
-    lead works inside parts of 8.6 GHz; the last row of a part takes the first one of the
+    lead works inside parts of 16.8 MHz; the last row of a part takes the first one of the
     next part that has rows, of which there is one row a part.
     """
     dealt = edges.withColumn("_part", _shift(F.col("s_lo"), F.lit(PART_BITS)))
@@ -116,14 +135,47 @@ def next_edge(edges: DataFrame) -> DataFrame:
     return inside.join(following, "_part").select("s_lo", F.coalesce("s_hi", "_after", F.lit(TOP)).alias("s_hi"))
 
 
-def least_in(tiles: DataFrame, intervals: DataFrame, value: Column, name: str) -> DataFrame:
-    """Adds to each segment the least value among the intervals that cover it, null if none does.
+def canonical(intervals: DataFrame, lo: str = "lo_hz", hi: str = "hi_hz") -> DataFrame:
+    """Each well-formed interval as the fewest dyadic nodes, two a level at most: adds _level and _node."""
+
+    def at(level: Column) -> Column:
+        first, after = -_shift(-F.col(lo), level), _shift(F.col(hi), level)
+        node = lambda x: F.struct(level.alias("level"), x.alias("node"))
+        return F.array(F.when((first < after) & (first % 2 != 0), node(first)), F.when((first < after) & (after % 2 != 0), node(after - 1)))
 
-    value: a struct that orders the intervals, rank first.
+    nodes = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(62)), at)), lambda x: x.isNotNull())
+    out = intervals.where(F.col(lo) < F.col(hi)).withColumn("_n", F.explode(nodes))
+    return out.withColumn("_level", F.col("_n.level")).withColumn("_node", F.col("_n.node")).drop("_n")
+
+
+def least_at(points: DataFrame, intervals: DataFrame, value: Column, name: str, hz: str = "hz") -> DataFrame:
+    """(hz, name): for each different point that an interval covers, the least value among those.
+
+    value: a struct that orders the intervals, rank first. Work is linear in points and
+    intervals, whatever the number of intervals over a point. Nodes of the upper levels,
+    fewer than FEW a level, are broadcast, so that their points don't meet in one task.
     """
-    ranked = intervals.select("lo_hz", "hi_hz", value.alias(name))
-    least = point_join(tiles.select("s_lo"), ranked, "s_lo").groupBy("s_lo").agg(F.min(name).alias(name))
-    return tiles.join(least, "s_lo", "left")
+    nodes = canonical(intervals.select("lo_hz", "hi_hz", value.alias(name))).groupBy("_level", "_node").agg(F.min(name).alias(name))
+    present = sorted(r["_level"] for r in canonical(intervals.select("lo_hz", "hi_hz")).select("_level").distinct().collect())  # 63 at most
+    top = highest_edge(intervals)
+    wide = [n for n in present if (top >> n) < FEW]
+    narrow = [n for n in present if (top >> n) >= FEW]
+    probe = points.select(hz).where(F.col(hz).isNotNull()).distinct()
+    out = None
+    for some in (wide, narrow):
+        if some:
+            here = nodes.where(F.col("_level").isin(*some))
+            looked = probe.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in some]))).withColumn("_node", _shift(F.col(hz), F.col("_level")))
+            met = looked.join(F.broadcast(here) if some is wide else here, ["_level", "_node"]).select(hz, name)
+            out = met if out is None else out.unionByName(met)
+    if out is None:
+        return probe.join(intervals.select(value.alias(name)).where("false"), F.lit(True))
+    return out.groupBy(hz).agg(F.min(name).alias(name))
+
+
+def least_in(tiles: DataFrame, intervals: DataFrame, value: Column, name: str) -> DataFrame:
+    """Adds to each segment the least value among the intervals that cover it, null if none does."""
+    return tiles.join(least_at(tiles, intervals, value, name, "s_lo"), "s_lo", "left")
 
 
 #: Cells of equal width that the occupied axis is cut into for the lookup of a point's segment.

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.lookup import with_summaries
+from ..operators.lookup import summary_segments
+from ..plans.intervals import MANY, highest_edge, segment_lookup
+from ..sources.tables import stored
 
 
 def summary_stream(stream: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
     """The columns of a streaming DataFrame of sightings (hz) and each one's summary.
 
-    Stateless: each point meets exactly one of the disjoint segments, computed once from
-    the static tables, so an inner stream-static join keeps every row, in append mode.
+    Stateless: each point meets exactly one of the disjoint segments, so an inner
+    stream-static join keeps every row, in append mode. The segments are computed once and
+    written to the shared folder; micro-batches only read them.
     """
-    return with_summaries(stream, channels, bands, services)
+    segments = stored(summary_segments(channels, bands, services), "segments")
+    return segment_lookup(stream, segments, highest_edge(channels, bands), segments.count() <= MANY)

@@ -299,9 +299,9 @@ def _(t):
     return V.diff_builds(t.bands, t.bands_faulty)
 
 
-def chunk_rows(t: Tables) -> DataFrame:
+def chunk_rows(t: Tables, source: DataFrame | None = None) -> DataFrame:
     """Chunks of the fixture's cells, which have no table place of their own."""
-    cells = t.cells.select(F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("table_index"), F.col("seq").cast("long").alias("row_index"), F.lit(0).alias("cell_index"), F.array(F.lit("us_federal")).alias("columns"), "text", "unit")
+    cells = (source or t.cells).select(F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("table_index"), F.col("seq").cast("long").alias("row_index"), F.lit(0).alias("cell_index"), F.array(F.lit("us_federal")).alias("columns"), "text", "unit")
     return A.chunks(cells)
 
 
@@ -314,9 +314,15 @@ heads AS (SELECT seq, chunk, CAST(round(CAST(split_part(replace(line, ' (Not All
                  CAST(round(CAST(split_part(replace(line, ' (Not Allocated)', ''), '-', 2) AS DOUBLE) * 1e6) AS BIGINT) AS hi_hz, contains(line, 'Not Allocated') AS not_allocated FROM parts WHERE is_range)"""
 
 
-@query("v13_parse_problems", f"WITH {LINES} SELECT 'tbl0:row' || seq AS source, 'non-increasing range ' || lo_hz || '-' || hi_hz AS problem FROM heads WHERE lo_hz >= hi_hz")
+#: Cells of which some say nothing and others have a range the wrong way round.
+SPOILT = "SELECT seq, unit, CASE WHEN seq % 31 = 0 THEN '. ,' WHEN seq % 37 = 0 THEN CONCAT(CAST(seq + 5 AS VARCHAR(20)), '-', CAST(seq AS VARCHAR(20)), CHR(10), 'FIXED') ELSE text END AS text FROM cells"
+
+
+@query("v13_parse_problems", f"WITH spoilt AS ({SPOILT}), " + LINES.strip().replace("FROM cells)", "FROM spoilt WHERE seq % 31 <> 0)") + """
+SELECT 'tbl0:row' || seq AS source, 'non-increasing range ' || lo_hz || '-' || hi_hz AS problem FROM heads WHERE lo_hz >= hi_hz
+UNION ALL SELECT 'tbl0:row' || seq, 'unparsed cell ' || text FROM spoilt WHERE seq % 31 = 0""")
 def _(t):
-    return V.parse_problems(chunk_rows(t))
+    return V.parse_problems(chunk_rows(t, t.sql(SPOILT)))
 
 
 # ----------------------------------------------------------------------------- parsing
@@ -535,9 +541,16 @@ def _(t):
     return A.parse_footnotes(t.blocks)
 
 
-@query("p20_source_revision", "SELECT doc_id, '3 May 2026' AS revision FROM documents")
+#: Revision lines in the first blocks, in none, and only after the blocks that are looked at.
+REVISED = """SELECT doc_id, CASE WHEN doc_id % 4 = 1 AND block_index = 0 THEN 60 ELSE block_index END AS block_index, kind,
+CASE WHEN block_index > 0 THEN text WHEN doc_id % 4 = 0 THEN 'no revision' ELSE CONCAT('Revised on ', CAST(doc_id % 28 + 1 AS VARCHAR(20)), ' May 2026 ') END AS text FROM blocks
+UNION ALL SELECT doc_id, 10 + i + 6 * j, 'p', 'more' FROM documents CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) a
+CROSS JOIN (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) b"""
+
+
+@query("p20_source_revision", "SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'unknown' WHEN doc_id % 4 = 1 THEN 'unknown' ELSE (doc_id % 28 + 1) || ' May 2026' END AS revision FROM documents")
 def _(t):
-    return A.source_revision(t.blocks)
+    return A.source_revision(t.sql(REVISED))
 
 
 # -------------------------------------------------------------------- normal forms
@@ -633,40 +646,85 @@ def _(t):
     return S.read_blocks(t.spark, path)
 
 
-@query("s3_write_tables", "SELECT band_id, jurisdiction, lo_hz, hi_hz FROM bands")
+#: Columns by output, for queries that read back all outputs of a sink as rows of text.
+TABLE_COLUMNS = {
+    "band": ("bands", "band_id jurisdiction lo_hz hi_hz seq"), "channel": ("channels", "id jurisdiction lo_hz hi_hz name service"), "service": ("services", "band_id ordinal name is_primary"),
+    "footnote": ("footnote_defs", "id class text"), "band_footnote": ("band_footnote", "band_id footnote_id scope service_ordinal"), "rule_part": ("rule_parts", "lo_hz hi_hz part name"),
+    "jurisdiction": ("jurs", "id name authority country itu_region code"), "meta": ("meta", "key value"),
+}
+METAS = """meta AS (SELECT 'band_count' AS key, CAST(count(*) AS VARCHAR) AS value FROM bands UNION ALL SELECT 'channel_count', CAST(count(*) AS VARCHAR) FROM channels
+UNION ALL SELECT 'footnote_count', CAST(count(*) AS VARCHAR) FROM footnote_defs UNION ALL SELECT 'rule_part_count', CAST(count(*) AS VARCHAR) FROM rule_parts
+UNION ALL SELECT 'source_revision', 'unknown' UNION ALL SELECT 'frequency_unit', 'hertz' UNION ALL SELECT 'interval_convention', 'half-open [lo_hz, hi_hz)')"""
+OUTPUTS = f"{JURIS}, jurs AS (SELECT jid AS id, jname AS name, authority, country, itu_region, code FROM juris), {METAS}"
+
+
+def _text_sql(output: str, source: str, columns: str) -> str:
+    listed = " || '|' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '')" for c in columns.split())
+    return f"SELECT '{output}' AS output, {listed} AS line FROM {source}"
+
+
+def _text(output: str, df: DataFrame, columns: str) -> DataFrame:
+    return df.select(F.lit(output).alias("output"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns.split()]).alias("line"))
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _built(t: Tables) -> dict[str, DataFrame]:
+    return {
+        "band": t.bands, "channel": t.channels, "service": t.services, "footnote": t.footnote_defs, "band_footnote": t.band_footnote,
+        "rule_part": t.rule_parts, "jurisdiction": H.jurisdictions(t.spark), "meta": N.meta(t.bands, t.channels, t.footnote_defs, t.rule_parts),
+    }
+
+
+@query("s3_write_tables", f"WITH {OUTPUTS} " + " UNION ALL ".join(_text_sql(k, *v) for k, v in TABLE_COLUMNS.items()))
 def _(t):
     path = _scratch(t, "tables")
-    S.write_tables({"band": t.bands, "channel": t.channels, "service": t.services, "footnote": t.footnote_defs, "band_footnote": t.band_footnote, "rule_part": t.rule_parts, "jurisdiction": H.jurisdictions(t.spark), "meta": N.meta(t.bands, t.channels, t.footnote_defs, t.rule_parts)}, path)
-    return t.spark.read.parquet(f"{path}/band").select("band_id", "jurisdiction", "lo_hz", "hi_hz")
+    S.write_tables(_built(t), path)
+    return _all([_text(k, t.spark.read.parquet(f"{path}/{k}"), columns) for k, (_, columns) in TABLE_COLUMNS.items()])
 
 
-@query("s4_export_nested", """
-WITH w AS (SELECT band_id, string_agg(footnote_id, ' ' ORDER BY footnote_id) AS f FROM band_footnote WHERE scope = 'band' GROUP BY band_id),
+@query("s4_export_nested", f"""
+WITH {OUTPUTS}, w AS (SELECT band_id, string_agg(footnote_id, ' ' ORDER BY footnote_id) AS f FROM band_footnote WHERE scope = 'band' GROUP BY band_id),
 o AS (SELECT band_id, service_ordinal AS ordinal, string_agg(footnote_id, ' ' ORDER BY footnote_id) AS f FROM band_footnote WHERE scope = 'service' GROUP BY ALL),
-s AS (SELECT s.band_id, string_agg(name || '[' || COALESCE(o.f, '') || ']', ';' ORDER BY s.ordinal) AS services FROM services s LEFT JOIN o ON o.band_id = s.band_id AND o.ordinal = s.ordinal GROUP BY s.band_id)
-SELECT jurisdiction, lo_hz, hi_hz, COALESCE(services, '') AS services, COALESCE(w.f, '') AS footnotes FROM bands b LEFT JOIN s ON s.band_id = b.band_id LEFT JOIN w ON w.band_id = b.band_id""")
-def _(t):
-    path = _scratch(t, "nested")
-    S.export_nested({"bands": t.bands, "services": t.services, "band_footnote": t.band_footnote, "footnotes": t.footnote_defs, "rule_parts": t.rule_parts, "channels": t.channels}, path)
+s AS (SELECT s.band_id, string_agg(name || '[' || CAST(is_primary AS VARCHAR) || ' ' || COALESCE(o.f, '') || ']', ';' ORDER BY s.ordinal) AS services FROM services s LEFT JOIN o ON o.band_id = s.band_id AND o.ordinal = s.ordinal GROUP BY s.band_id),
+nested AS (SELECT jurisdiction, lo_hz, hi_hz, COALESCE(services, '') AS services, COALESCE(w.f, '') AS footnotes FROM bands b LEFT JOIN s ON s.band_id = b.band_id LEFT JOIN w ON w.band_id = b.band_id)
+{_text_sql("bands", "nested", "jurisdiction lo_hz hi_hz services footnotes")} UNION ALL {_text_sql("footnotes", "footnote_defs", "id class text")}
+UNION ALL {_text_sql("rule_parts", "rule_parts", "lo_hz hi_hz part name")} UNION ALL {_text_sql("channels", "channels", "id jurisdiction lo_hz hi_hz name service")}
+UNION ALL {_text_sql("meta", "meta", "key value")} UNION ALL {_text_sql("jurisdictions", "jurs", "id name authority country itu_region")}""")
+def _(t):
+    path, built = _scratch(t, "nested"), _built(t)
+    S.export_nested({"bands": t.bands, "services": t.services, "band_footnote": t.band_footnote, "footnotes": t.footnote_defs, "rule_parts": t.rule_parts, "channels": t.channels, "meta": built["meta"]}, path)
     kind = "jurisdiction string, lo_hz long, hi_hz long, services array<struct<name:string,primary:boolean,footnotes:array<string>>>, footnotes array<string>"
-    shown = F.transform("services", lambda s: F.concat(s["name"], F.lit("["), F.array_join(s["footnotes"], " "), F.lit("]")))
-    return t.spark.read.schema(kind).json(f"{path}/bands").select("jurisdiction", "lo_hz", "hi_hz", F.array_join(shown, ";").alias("services"), F.array_join("footnotes", " ").alias("footnotes"))
+    shown = F.transform("services", lambda s: F.concat(s["name"], F.lit("["), s["primary"].cast("string"), F.lit(" "), F.array_join(s["footnotes"], " "), F.lit("]")))
+    bands = t.spark.read.schema(kind).json(f"{path}/bands").withColumn("services", F.array_join(shown, ";")).withColumn("footnotes", F.array_join("footnotes", " "))
+    read = {"footnotes": "id class text", "rule_parts": "lo_hz hi_hz part name", "channels": "id jurisdiction lo_hz hi_hz name service", "meta": "key value", "jurisdictions": "id name authority country itu_region"}
+    return _all([_text("bands", bands, "jurisdiction lo_hz hi_hz services footnotes"), *[_text(k, t.spark.read.schema(", ".join(f"{c} string" for c in v.split())).json(f"{path}/{k}"), v) for k, v in read.items()]])
 
 
-@query("s5_export_minimal", """
-SELECT jurisdiction AS j, lo_hz AS lo, hi_hz AS hi, '[' || COALESCE(string_agg('["' || name || '",' || CASE WHEN is_primary THEN '1' ELSE '0' END || ']', ',' ORDER BY ordinal), '') || ']' AS s
-FROM bands b LEFT JOIN services s ON s.band_id = b.band_id GROUP BY b.band_id, jurisdiction, lo_hz, hi_hz""")
+@query("s5_export_minimal", f"""
+WITH m AS (SELECT jurisdiction AS j, lo_hz AS lo, hi_hz AS hi, '[' || COALESCE(string_agg('["' || name || '",' || CASE WHEN is_primary THEN '1' ELSE '0' END || ']', ',' ORDER BY ordinal), '') || ']' AS s
+FROM bands b LEFT JOIN services s ON s.band_id = b.band_id GROUP BY b.band_id, jurisdiction, lo_hz, hi_hz), c AS (SELECT lo_hz AS lo, hi_hz AS hi, name AS n, service AS sv, '' AS d FROM channels)
+{_text_sql("bands", "m", "j lo hi s")} UNION ALL {_text_sql("channels", "c", "lo hi n sv d")}""")
 def _(t):
     path = _scratch(t, "minimal")
     S.export_minimal({"bands": t.bands, "services": t.services, "channels": t.channels}, path)
-    return t.spark.read.schema("j string, lo long, hi long, s string").json(f"{path}/bands")
+    read = lambda name, columns: _text(name, t.spark.read.schema(", ".join(f"{c} string" for c in columns.split())).json(f"{path}/{name}"), columns)
+    return _all([read("bands", "j lo hi s"), read("channels", "lo hi n sv d")])
 
 
-@query("s6_serving_tables", f"WITH {LABELS}, {JURIS} SELECT lo_hz, hi_hz, COALESCE(label, '') AS label, CAST(code AS INTEGER) AS code, FALSE AS not_allocated, (SELECT max(hi_hz - lo_hz) FROM bands) AS widest FROM bands b LEFT JOIN labels l ON l.band_id = b.band_id JOIN juris ON jid = jurisdiction")
+@query("s6_serving_tables", f"""
+WITH {LABELS}, {JURIS}, b AS (SELECT lo_hz, hi_hz, COALESCE(label, '') AS label, code, p_size = 50 AS empty FROM bands b LEFT JOIN labels l ON l.band_id = b.band_id JOIN juris ON jid = jurisdiction JOIN part ON p_partkey = b.band_id),
+w AS (SELECT 'bands' AS layer, max(hi_hz - lo_hz) AS widest FROM bands UNION ALL SELECT 'channels', max(hi_hz - lo_hz) FROM channels)
+{_text_sql("bands", "b", "lo_hz hi_hz label code empty")} UNION ALL {_text_sql("channels", "channels", "lo_hz hi_hz name service")} UNION ALL {_text_sql("spans", "w", "layer widest")}""")
 def _(t):
-    served = S.serving_tables(t.bands, t.services, t.channels)
-    widest = served["spans"].where("layer = 'bands'").select("widest")
-    return served["bands"].join(F.broadcast(widest), how="cross")  # one row
+    empty = t.part.select(F.col("p_partkey").alias("band_id"), (F.col("p_size") == 50).alias("not_allocated"))
+    served = S.serving_tables(t.bands.join(empty, "band_id"), t.services, t.channels)
+    return _all([_text("bands", served["bands"], "lo_hz hi_hz label code not_allocated"), _text("channels", served["channels"], "lo_hz hi_hz name service"), _text("spans", served["spans"], "layer widest")])
 
 
 # ------------------------------------------------------------------------- the stream

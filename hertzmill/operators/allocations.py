@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.cells import is_pointer, let, lines_of, rejoin_lines, split_bands, strip_line
+from ..functions.cells import FOOTNOTE, is_pointer, let, lines_of, rejoin_lines, split_bands, strip_line
 
-# The printed forms of rule parts, headings and entries, and the column's jurisdictions.
+# The words of headings and marks, and the column's jurisdictions.
 JURISDICTION_OF = {"itu_r1": "itu-r1", "itu_r2": "itu-r2", "itu_r3": "itu-r3", "us_federal": "us-federal", "us_non_federal": "us-non-federal"}
-PART = r"^(.+?)\s*\((\d+[A-Z]?)\)\s*$"
 NOTES_START = "(a) Allocation Table."
 HEADINGS = {
     "itu": "International footnotes.",
@@ -17,10 +16,47 @@ HEADINGS = {
     "ng": "Non-Federal Government (NG) Footnotes.",
     "g": "Federal Government (G) footnotes.",
 }
-ENTRY = r"(?s)^(?:\(\s*[0-9ivxlcIVXLC]+\s*\)\s*)+(5\.\d+[A-Z]*|US\d+[A-Z]*|NG\d+[A-Z]*|G\d+[A-Z]*)(?![\w.])\s*(.*)$"
-RESERVED = r"(?i)^\(\s*[\d\s\-()]+\s*\)\s*\[Reserved\]"
 TABLE_MARK = "[table omitted -- see source document]"
 UNKNOWN = "unknown"
+RESERVED = "[reserved]"
+
+
+def _only(text: Column, characters: str) -> Column:
+    """Whether a text has characters, and no others than these."""
+    return (text != "") & (F.translate(text, characters, "") == "")
+
+
+def _bracketed(text: Column) -> Column:
+    """What stands between the first and last character, without white space, if these are brackets."""
+    tight = F.regexp_replace(text, r"\s", "")
+    return F.when(F.startswith(tight, F.lit("(")) & F.endswith(tight, F.lit(")")), F.substring(tight, 2, F.length(tight) - 2))
+
+
+def part_of(line: Column) -> Column:
+    """(name, part) of a line that ends with a number in brackets, with a capital letter or without: 'Aviation (87F)'."""
+    shown = F.rtrim(line)
+    last = F.element_at(F.split(shown, r"\("), -1)
+    name = F.trim(F.substring(shown, 1, F.length(shown) - F.length(last) - 1))
+    part = F.rtrim(F.substring(last, 1, F.length(last) - 1))
+    number = F.regexp_replace(part, "[A-Z]$", "")
+    good = F.endswith(last, F.lit(")")) & (name != "") & _only(number, "0123456789")
+    return F.struct(F.when(good, name).otherwise("").alias("name"), F.when(good, part).otherwise("").alias("part"))
+
+
+def entry_of(text: Column) -> Column:
+    """(id, said) of a paragraph that opens an entry: numerals in brackets, once or more, a footnote's id, and the rest; null for others."""
+    known = F.regexp_extract(text, FOOTNOTE, 0)
+    marks = F.split_part(text, known, F.lit(1))
+    rest = F.substr(text, F.length(marks) + F.length(known) + 1)
+    numerals = F.split(_bracketed(marks), r"\)\(")
+    good = (known != "") & F.forall(numerals, lambda x: _only(F.upper(x), "0123456789IVXLC")) & ~F.rlike(rest, F.lit(r"^[\w.]"))
+    return F.when(good, F.struct(known.alias("id"), F.trim(F.regexp_replace(rest, r"^\s+", "")).alias("said")))
+
+
+def is_reserved(text: Column) -> Column:
+    """Whether a paragraph is numbers or ranges of them in brackets, followed by the mark of a reserved entry."""
+    lower = F.lower(text)
+    return F.contains(lower, F.lit(RESERVED)) & F.coalesce(_only(_bracketed(F.substring_index(lower, RESERVED, 1)), "0123456789-()"), F.lit(False))
 
 
 def drop_pointers(cells: DataFrame) -> DataFrame:
@@ -38,6 +74,11 @@ def chunks(cells: DataFrame) -> DataFrame:
     return parts.select("doc_id", "table_index", "row_index", "cell_index", "columns", source.alias("source"), "chunk", "x.*")
 
 
+def _alone() -> Column:
+    """Whether a cell covers the rule-part column and no other."""
+    return F.col("columns") == F.array(F.lit("fcc_parts"))
+
+
 def _order() -> list[str]:
     return ["table_index", "row_index", "cell_index"]
 
@@ -50,9 +91,9 @@ def rule_parts(cells: DataFrame) -> DataFrame:
     """
     over = F.array_contains("columns", "fcc_parts")
     lines = let(lines_of(F.col("text")), rejoin_lines)
-    hits = F.filter(F.transform(lines, lambda x: F.struct(F.trim(F.regexp_extract(x, PART, 1)).alias("name"), F.regexp_extract(x, PART, 2).alias("part"))), lambda s: s["part"] != "")
+    hits = F.filter(F.transform(lines, part_of), lambda s: s["part"] != "")
     marked = drop_pointers(cells).withColumn("hits", F.when(over, hits).otherwise(F.array().cast("array<struct<name:string,part:string>>")))
-    marked = marked.withColumn("alone", F.to_json("columns") == '["fcc_parts"]')
+    marked = marked.withColumn("alone", _alone())
     spans = F.filter(split_bands(F.col("text"), F.col("unit")), lambda c: c["lo_hz"].isNotNull())
     last = let(spans, lambda s: F.when(F.size(s) > 0, F.struct(F.element_at(s, -1)["lo_hz"].alias("lo_hz"), F.element_at(s, -1)["hi_hz"].alias("hi_hz"))))
     # a cell is off the band path if it is of that column only, or a line of it was found, which takes a range before it
@@ -68,7 +109,7 @@ def rule_parts(cells: DataFrame) -> DataFrame:
 def band_cells(cells: DataFrame, parts: DataFrame) -> DataFrame:
     """Cells on the band path: no pointers, none of the rule-part column only, none that gave a rule part."""
     gave = parts.select("doc_id", *_order()).distinct()
-    return drop_pointers(cells).where(F.to_json("columns") != '["fcc_parts"]').join(gave, ["doc_id", *_order()], "left_anti")
+    return drop_pointers(cells).where(~_alone()).join(gave, ["doc_id", *_order()], "left_anti")
 
 
 def fold_spills(parsed: DataFrame) -> DataFrame:
@@ -122,11 +163,11 @@ def parse_footnotes(blocks: DataFrame) -> DataFrame:
     for name, words in reversed(HEADINGS.items()):
         heading = F.when(F.contains(F.substring("t", 1, 80), F.lit(words)), F.lit(name)).otherwise(heading)
     rows = rows.withColumn("heading", heading).withColumn("class", F.last("heading", ignorenulls=True).over(upto)).where("class is not null")
-    entry = F.when(F.col("heading").isNull(), F.nullif(F.regexp_extract("t", ENTRY, 1), F.lit("")))
-    closes = F.col("heading").isNotNull() | (F.col("t").rlike(RESERVED) & entry.isNull())
-    rows = rows.withColumn("id", entry).withColumn("closes", F.coalesce(closes, F.lit(False)))
+    rows = rows.withColumn("entry", F.when(F.col("heading").isNull(), entry_of(F.col("t")))).withColumn("id", F.col("entry.id"))
+    closes = F.col("heading").isNotNull() | (is_reserved(F.col("t")) & F.col("id").isNull())
+    rows = rows.withColumn("closes", F.coalesce(closes, F.lit(False)))
     rows = rows.withColumn("event", F.sum(F.when(F.col("id").isNotNull() | F.col("closes"), 1).otherwise(0)).over(upto))
-    said = F.when(F.col("id").isNotNull(), F.trim(F.regexp_extract("t", ENTRY, 2))).when(F.col("kind") != "p", TABLE_MARK).otherwise(F.col("t"))
+    said = F.when(F.col("id").isNotNull(), F.col("entry.said")).when(F.col("kind") != "p", TABLE_MARK).otherwise(F.col("t"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("block_index", said.alias("said")))), lambda x: x["said"])
     entries = rows.groupBy("doc_id", "event").agg(F.max("id").alias("id"), F.max_by("class", F.when(F.col("id").isNotNull(), F.col("block_index"))).alias("class"), F.min("block_index").alias("at"), strip_line(F.array_join(F.filter(lines, lambda x: x != ""), "\n")).alias("text"))
     return entries.where("id is not null").groupBy("doc_id", "id").agg(F.max_by(F.struct("class", "text"), "at").alias("x")).select("doc_id", "id", "x.class", "x.text")

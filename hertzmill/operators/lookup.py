@@ -162,18 +162,21 @@ def _rank_key(item: str, *shown: Column) -> Column:
 
 def summary_segments(channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
     """Disjoint segments with the tooltip text of every point in them: L14 moved to the static side."""
-    us = bands.where(F.col("jurisdiction").startswith("us")).join(services_label(services), "band_id", "left")
-    order = F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), F.col("lo_hz").alias("lo"), F.col("hi_hz").alias("hi"), F.col("band_id").alias("item"), F.col("label").alias("label"))
+    us = bands.where(F.col("jurisdiction").startswith("us")).select("band_id", "lo_hz", "hi_hz")
+    order = F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), F.col("lo_hz").alias("lo"), F.col("hi_hz").alias("hi"), F.col("band_id").alias("item"))
     tiles = least_in(cut(channels, us), channels, _rank_key("id", F.col("name").alias("name")), "channel")
-    tiles = least_in(tiles, us, order, "band")
-    text = F.coalesce("channel.name", F.when(F.col("band.label") != "", F.col("band.label")), F.lit(NO_RECORD))
+    tiles = least_in(tiles, us, order, "band").withColumn("band_id", F.col("band.item")).join(services_label(services), "band_id", "left")
+    text = F.coalesce("channel.name", F.when(F.col("label") != "", F.col("label")), F.lit(NO_RECORD))
     return tiles.select("s_lo", "s_hi", text.alias("summary"))
 
 
 def with_summaries(sightings: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
     """The columns of sightings, a stream or not, and each one's summary, by segments."""
-    few = 2 * (channels.count() + bands.count()) + 1 <= MANY
-    return segment_lookup(sightings, summary_segments(channels, bands, services), highest_edge(channels, bands), few)
+    n, top = 0, 0
+    for layer in (channels, bands):
+        count, edge = layer.agg(F.count("*"), F.coalesce(F.max("hi_hz"), F.lit(0))).first()
+        n, top = n + count, max(top, edge)
+    return segment_lookup(sightings, summary_segments(channels, bands, services), top, 2 * n + 1 <= MANY)
 
 
 def summary(sightings: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame, how: str = "segments") -> DataFrame:

@@ -156,8 +156,8 @@ def least_at(points: DataFrame, intervals: DataFrame, value: Column, name: str,
     fewer than FEW a level, are broadcast, so that their points don't meet in one task.
     """
     nodes = canonical(intervals.select("lo_hz", "hi_hz", value.alias(name))).groupBy("_level", "_node").agg(F.min(name).alias(name))
-    present = sorted(r["_level"] for r in canonical(intervals.select("lo_hz", "hi_hz")).select("_level").distinct().collect())  # 63 at most
-    top = highest_edge(intervals)
+    least, top = intervals.agg(F.coalesce(F.min("lo_hz"), F.lit(0)), F.coalesce(F.max("hi_hz"), F.lit(0))).first()
+    present = range(max(top, -least).bit_length() + 1)  # 64 levels at most
     wide = [n for n in present if (top >> n) < FEW]
     narrow = [n for n in present if (top >> n) >= FEW]
     probe = points.select(hz).where(F.col(hz).isNotNull()).distinct()
@@ -168,8 +168,6 @@ def least_at(points: DataFrame, intervals: DataFrame, value: Column, name: str,
             looked = probe.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in some]))).withColumn("_node", _shift(F.col(hz), F.col("_level")))
             met = looked.join(F.broadcast(here) if some is wide else here, ["_level", "_node"]).select(hz, name)
             out = met if out is None else out.unionByName(met)
-    if out is None:
-        return probe.join(intervals.select(value.alias(name)).where("false"), F.lit(True))
     return out.groupBy(hz).agg(F.min(name).alias(name))
 
 

@@ -14,27 +14,49 @@ from hertzmill.llm.quality import without_rejected
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose posterior quality is too low go."""
+    """Documents whose posterior quality is too low go, also null, empty and word-free texts.
+
+    Other columns, of any name, and the rows that stay are as they were; repeated rows are
+    judged alike; texts of any length are measured whole. No rows: no rows.
+    """
     return without_rejected(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five words, 0.8) the document with the smallest id stays."""
+    """Of each group of near-duplicates (five words, 0.8) the document with the smallest id stays.
+
+    Rows with that id all stay, repeated or not. Null, empty and word-free texts are
+    alike with nothing and stay; so does a row with a null id unless its text equals that
+    of a row with one. Rows that stay are as they were. No rows: no rows.
+    """
     return one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that an earlier document has are cut out."""
+    """Passages of 50 words or more that an earlier document has are cut out.
+
+    n_chars follows the text; a row of which nothing is left goes; other rows and columns
+    are as they were, null texts and null ids among them. Rows that repeat an id are cut
+    by word position. No rows: no rows.
+    """
     return without_passages(docs, repeated_passages(docs))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in proportion to their weights: a document comes zero, one or two times."""
+    """Sources in proportion to their weights: a document comes zero, one or two times.
+
+    A null source is a source of its own; null texts have size 0; equal ids stand or fall
+    together; columns are as they were. No rows: no rows.
+    """
     return mixed(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 1024 tokens."""
+    """Pieces of documents in sequences of 1024 tokens.
+
+    A null text is an empty one: a single end id. Repeated rows give repeated pieces, a null
+    id stays null. No rows: no rows.
+    """
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

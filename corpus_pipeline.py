@@ -68,7 +68,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: Expectation-maximisation, components and packing have no plain SQL form; tests compare with brute force.
+#: Expectation-maximisation, components and packing have no plain SQL form; tests compare the operators with plain versions.
 ORACLE_SQL = None
 
 

@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align
 from .chat import format_conversations, read_back
 from .embeddings import near_duplicates
+from .fingerprints import fingerprints
 from .html import extract
 from .jaccard import jaccard_components
 from .language import fit, identify
+from .manifest import manifest, proof_digest
 from .mixing import mix
 from .packing import pack
 from .passages import repeated_passages
@@ -79,6 +82,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = manifest(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -130,6 +148,37 @@ c AS (SELECT vec_id, min(seen) AS component_id FROM r GROUP BY vec_id), n AS (SE
 SELECT c.vec_id, COALESCE(n.n, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n ON n.a = c.vec_id
 """
 
+#: CRC-32 by bits, least first: the polynomial is the reversed one of the standard.
+ORACLES["op11_merkle_manifest"] = """
+WITH RECURSIVE f AS (
+  SELECT doc_id, source, text, concat_ws('', COALESCE(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), COALESCE(strlen(source) || ':' || source, '-'),
+         COALESCE(strlen(lang) || ':' || lang, '-'), COALESCE(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head,
+         list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: list_transform(range(8), lambda i: (ascii(x) >> i) & 1)))),
+                     lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)) AS crc FROM documents),
+d AS (SELECT doc_id, source, sha256(head || COALESCE(strlen(text) || ':' || text, '-')) AS leaf,
+             CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN sha256(head || COALESCE(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) END AS altered FROM f),
+a AS (SELECT *, row_number() OVER w - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM d WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf)),
+t AS (SELECT source, 0 AS k, CAST(r AS BIGINT) AS i, n, leaf AS h FROM a
+      UNION ALL SELECT source, k + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1 GROUP BY source, k, i // 3),
+s AS (SELECT source, k AS top, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS k, CAST(r AS BIGINT) AS i, n, subroot AS h FROM s
+      UNION ALL SELECT k + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1 GROUP BY k, i // 3),
+root AS (SELECT h AS root FROM u WHERE n = 1),
+x AS (SELECT doc_id, leaf, COALESCE(altered, leaf) AS start, a.source, a.r, s.subroot, s.r AS s_r, s.top FROM a JOIN s ON a.source IS NOT DISTINCT FROM s.source),
+w AS (SELECT row_number() OVER () AS id, * FROM x),
+p AS (SELECT id, t.k, string_agg(t.h, '' ORDER BY t.i) FILTER (t.i < w.r // pow3.p) AS l, string_agg(t.h, '' ORDER BY t.i) FILTER (t.i > w.r // pow3.p) AS g
+      FROM w JOIN (SELECT k, CAST(pow(3, k) AS BIGINT) AS p FROM range(40) z(k)) pow3 ON pow3.k < w.top
+      JOIN t ON t.source IS NOT DISTINCT FROM w.source AND t.k = pow3.k AND t.i // 3 = w.r // (3 * pow3.p) GROUP BY id, t.k
+      UNION ALL
+      SELECT id, w.top + u.k, string_agg(u.h, '' ORDER BY u.i) FILTER (u.i < w.s_r // pow3.p), string_agg(u.h, '' ORDER BY u.i) FILTER (u.i > w.s_r // pow3.p)
+      FROM w JOIN (SELECT k, CAST(pow(3, k) AS BIGINT) AS p FROM range(40) z(k)) pow3 ON pow3.k < (SELECT max(k) FROM u)
+      JOIN u ON u.k = pow3.k AND u.i // 3 = w.s_r // (3 * pow3.p) GROUP BY id, w.top, u.k),
+e AS (SELECT id, sha256(COALESCE(string_agg(COALESCE(l, '') || COALESCE(g, ''), '' ORDER BY k), '')) AS proof_sha256 FROM w LEFT JOIN p USING (id) GROUP BY id),
+c AS (SELECT id, 0 AS k, start AS h FROM w UNION ALL SELECT c.id, c.k + 1, sha256(COALESCE(l, '') || h || COALESCE(g, '')) FROM c JOIN p ON p.id = c.id AND p.k = c.k),
+v AS (SELECT id, arg_max(h, k) AS folded_root FROM c GROUP BY id)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM w JOIN e USING (id) JOIN v USING (id), root
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

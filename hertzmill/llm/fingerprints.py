@@ -1,6 +1,6 @@
 """Fingerprints by consistent weighted sampling, in DataFrame functions only.
 
-A term (five consecutive words, lower-cased) weighs as often as it occurs. For each of 64
+A term (five consecutive words, lower-cased) weighs as often as it occurs. For each of 32
 samples a term draws r and c from the gamma distribution (2, 1) and b from the unit interval,
 all by hash, so equal terms draw alike in every text. With t = floor(ln(weight) / r + b)
 its rank is ln(c) - r (t + 1 - b), and the term of least rank, with its t, is the sample:
@@ -17,13 +17,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_BREAK
 from .quality import _let, _pairs
 
 WORDS = 5
-SAMPLES = 64
+SAMPLES = 32
 #: Samples that one row of a term draws; the others are drawn by further rows, so that generated code stays small.
-AT_ONCE = 8
+AT_ONCE = 4
 #: Quantiles of the gamma distribution that a draw chooses from.
 QUANTILES = 1024
 #: A sample is ordered by its rank, in 2^-36 above -64, before 20 bits that name the term and t.
@@ -46,33 +45,35 @@ def _constant(values: list[float]) -> Column:
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
-def terms(text: Column) -> Column:
-    """The distinct terms of a text as (term, weight); with fewer than five words all of them are one term, without words none."""
-    words = F.array_remove(F.split(F.lower(text), WORD_BREAK, -1), "")
+def words(text: Column) -> Column:
+    """Lower-cased words of a text; empty strings among them where spaces follow each other."""
+    for space in "\t\n\x0b\f\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.split(F.lower(text), " ", -1)
 
-    def shingles(a: Column) -> Column:
-        fours = _let(_pairs(a, 1), lambda two: _pairs(two, 2))
-        n = F.greatest(F.size(a) - (WORDS - 1), F.lit(0))
-        fives = F.zip_with(F.slice(fours, F.lit(1), n), F.slice(a, F.lit(WORDS), n), lambda x, y: F.xxhash64(x, y))
-        whole = F.aggregate(a, F.lit(0).cast("long"), lambda h, x: F.xxhash64(h, x))
-        return F.when(F.size(a) >= WORDS, fives).when(F.size(a) > 0, F.array(whole)).otherwise(F.array().cast("array<long>"))
 
-    def counted(s: Column) -> Column:
-        starts = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (F.get(s, i - 1) != x), i)), lambda i: i.isNotNull())
-        return _let(starts, lambda at: F.transform(at, lambda i, k: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("weight"))))
+def _counts(s: Column) -> Column:
+    """How often each value of a sorted array comes."""
+    starts = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (F.get(s, i - 1) != x), i)), lambda i: i.isNotNull())
+    return _let(starts, lambda at: F.transform(at, lambda i, k: F.coalesce(F.get(at, k + 1), F.size(s)) - i))
 
-    return _let(_let(F.transform(words, lambda w: F.xxhash64(w)), lambda a: F.sort_array(shingles(a))), counted)
 
+def with_terms(texts: DataFrame, text: str) -> DataFrame:
+    """texts without the text, but with terms, the distinct terms of it, and weights, null where each of them comes once.
 
-def _draw(h: Column, log_weight: Column, r_of: Column, c_of: Column) -> Column:
-    """Rank and name of a term's sample as one number, from a hash of term and sample."""
-    r = F.get(r_of, h.bitwiseAND(QUANTILES - 1).cast("int"))
-    log_c = F.get(c_of, F.shiftrightunsigned(h, 10).bitwiseAND(QUANTILES - 1).cast("int"))
-    b = (F.shiftrightunsigned(h, 20).bitwiseAND((1 << 20) - 1) + 0.5) / (1 << 20)
-    t = F.floor(log_weight / r + b)
-    rank = ((log_c - r * (t + 1 - b) + LOWEST) * SCALE).cast("long")
-    name = F.shiftrightunsigned(h, 44).bitwiseXOR(t * 0x9E377).bitwiseAND((1 << BITS) - 1)
-    return F.shiftleft(rank, BITS).bitwiseOR(name)
+    With fewer than five words all of them are one term, without words there is none. Each
+    step is a column of its own, so that none is evaluated twice.
+    """
+    keys = [c for c in texts.columns if c != text]
+    out = texts.select(*keys, F.array_remove(F.transform(words(F.col(text)), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))).alias("a"))
+    out = out.select(*keys, "a", _pairs(F.col("a"), 1).alias("two")).select(*keys, "a", _pairs(F.col("two"), 2).alias("four"))
+    n = F.greatest(F.size("a") - (WORDS - 1), F.lit(0))
+    fives = F.zip_with(F.slice("four", F.lit(1), n), F.slice("a", F.lit(WORDS), n), lambda x, y: F.xxhash64(x, y))
+    whole = F.aggregate("a", F.lit(0).cast("long"), lambda h, x: F.xxhash64(h, x))
+    out = out.select(*keys, F.when(F.size("a") >= WORDS, fives).when(F.size("a") > 0, F.array(whole)).otherwise(F.array().cast("array<long>")).alias("s"))
+    out = out.select(*keys, "s", F.array_distinct("s").alias("d"))
+    again = F.size("d") < F.size("s")
+    return out.select(*keys, F.when(again, F.sort_array("d")).otherwise(F.col("d")).alias("terms"), F.when(again, _let(F.sort_array("s"), _counts)).alias("weights"))
 
 
 def sampled(texts: DataFrame, text: str) -> DataFrame:
@@ -83,14 +84,27 @@ def sampled(texts: DataFrame, text: str) -> DataFrame:
     keys = [c for c in texts.columns if c != text]
     quantiles = gamma_quantiles()
     r_of, c_of = _constant(quantiles), _constant([math.log(x) for x in quantiles])
-    rows = texts.select(*keys, F.explode_outer(terms(F.col(text))).alias("x")).select(*keys, F.col("x.term").alias("term"), F.log(F.col("x.weight").cast("double")).alias("lw"))
+    rows = with_terms(texts, text).withColumn("some", F.size("terms") > 0)
+    rows = rows.select(*keys, "some", "weights", F.posexplode_outer("terms").alias("i", "term")).select(*keys, "some", "term", F.log(F.coalesce(F.get("weights", F.col("i")), F.lit(1)).cast("double")).alias("lw"))
     rows = rows.withColumn("g", F.explode(F.array(*[F.lit(g) for g in range(SAMPLES // AT_ONCE)])))
-    rows = rows.select(*keys, "g", "term", "lw", *[F.xxhash64("term", "g", F.lit(j)).alias(f"h{j}") for j in range(AT_ONCE)])
-    least = rows.groupBy(*keys, "g").agg(*[F.min(F.when(F.col("term").isNotNull(), _draw(F.col(f"h{j}"), F.col("lw"), r_of, c_of))).alias(f"m{j}") for j in range(AT_ONCE)])
-    names = F.array(*[F.col(f"m{j}").bitwiseAND((1 << BITS) - 1).cast("int") for j in range(AT_ONCE)])
-    grouped = least.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("g", names.alias("names")))).alias("a"))
-    found = F.flatten(F.transform("a", lambda x: x["names"]))
-    return grouped.select(*keys, F.when(F.get(found, 0).isNotNull(), found).alias("samples"))
+    each = range(AT_ONCE)
+    # ten bits of a hash choose r, ten c, twenty b; the others name the term
+    rows = rows.select(*keys, "some", "g", "lw", *[F.xxhash64("term", "g", F.lit(j)).alias(f"h{j}") for j in each])
+    r = [F.get(r_of, F.col(f"h{j}").bitwiseAND(QUANTILES - 1).cast("int")).alias(f"r{j}") for j in each]
+    b = [((F.shiftrightunsigned(f"h{j}", 20).bitwiseAND((1 << 20) - 1) + 0.5) / (1 << 20)).alias(f"b{j}") for j in each]
+    rows = rows.select("*", *r, *b).select("*", *[F.floor(F.col("lw") / F.col(f"r{j}") + F.col(f"b{j}")).alias(f"t{j}") for j in each])
+
+    def draw(j: int) -> Column:
+        h, t = F.col(f"h{j}"), F.col(f"t{j}")
+        log_c = F.get(c_of, F.shiftrightunsigned(h, 10).bitwiseAND(QUANTILES - 1).cast("int"))
+        rank = ((log_c - F.col(f"r{j}") * (t + 1 - F.col(f"b{j}")) + LOWEST) * SCALE).cast("long")
+        name = F.shiftrightunsigned(h, 44).bitwiseXOR(t * 0x9E377).bitwiseAND((1 << BITS) - 1)
+        return F.shiftleft(rank, BITS).bitwiseOR(name)
+
+    least = rows.groupBy(*keys, "g").agg(F.max("some").alias("some"), *[F.min(draw(j)).alias(f"m{j}") for j in each])
+    names = F.array(*[F.col(f"m{j}").bitwiseAND((1 << BITS) - 1).cast("int") for j in each])
+    grouped = least.groupBy(*keys).agg(F.max("some").alias("some"), F.array_sort(F.collect_list(F.struct("g", names.alias("names")))).alias("a"))
+    return grouped.select(*keys, F.when(F.col("some"), F.flatten(F.transform("a", lambda x: x["names"]))).alias("samples"))
 
 
 def shown(samples: Column) -> Column:
@@ -105,7 +119,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 #: Documents a block, and most blocks; the driver sees the least id of each.
-BLOCK_ROWS, MOST_BLOCKS = 2048, 1 << 16
+BLOCK_ROWS, MOST_BLOCKS = 256, 1 << 16
 
 
 def _blocks(docs: DataFrame) -> tuple[list[int], bool]:
@@ -161,14 +175,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     that repeat an id follow each other by text; a null doc_id comes first. One row alone
     is its own next. Only doc_id and text are read. No rows: no rows.
     """
-    rows = edited_texts(docs)
-    both = F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))
-    kept = F.filter(both, lambda x: x["t"].isNotNull())
-    sha = F.sha2("edited", 256).alias("edited_sha256")
-    texts = rows.select("block", "place", "guest", "doc_id", "n_chars", sha, F.explode(kept).alias("x")).select("block", "place", "x.which", "guest", "doc_id", "n_chars", "edited_sha256", "x.t")
-    order = Window.partitionBy("block").orderBy("place", "which")
-    out = sampled(texts, "t").select("*", F.lead("samples", 1).over(order).alias("edited"), F.lead("samples", 2).over(order).alias("next"))
-    return out.where("which = 0 and not guest").select(
+    rows = edited_texts(docs).withColumn("row", F.col("place").cast("long") * 2)
+    both = F.array(F.struct(F.col("row").alias("row"), F.col("text").alias("t")), F.struct((F.col("row") + 1).alias("row"), F.col("edited").alias("t")))
+    texts = rows.select("block", F.explode(F.filter(both, lambda x: x["t"].isNotNull())).alias("x")).select("block", "x.row", "x.t")
+    order = Window.partitionBy("block").orderBy("row")
+    found = sampled(texts, "t").select("*", F.lead("samples", 1).over(order).alias("edited"), F.lead("samples", 2).over(order).alias("next"))
+    # what isn't sampled is joined again, so that the keys of the samples are numbers only
+    own = rows.where("not guest").select("block", "row", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    return own.join(found, ["block", "row"]).select(
         "doc_id", "n_chars", "edited_sha256", shown(F.col("samples")).alias("fingerprint"), shown(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("samples"), F.col("edited")).alias("near_edited"), likeness(F.col("samples"), F.col("next")).alias("near_next"),
     )

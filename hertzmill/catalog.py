@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from .operators import lookup as L
 from .operators import normalize as N
 from .operators import validate as V
 from .plans import intervals as K
+from .plans.storage import shared_path
 from .sources import tables as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,12 +87,12 @@ RANKED = "SELECT sighting_id, id, CAST(row_number() OVER (PARTITION BY sighting_
 
 @query("l6_rank", RANKED)
 def _(t):
-    return L.rank(L.channels_at(t.sightings, slim(t.channels)), "sighting_id", "id").select("sighting_id", "id", "rank")
+    return L.narrowest_first(t.sightings, slim(t.channels), "sighting_id", "id").select("sighting_id", "id", "rank")
 
 
 @query("l7_top_n", f"SELECT * FROM ({RANKED}) x WHERE rank <= 32")
 def _(t):
-    return L.top_n(L.channels_at(t.sightings, slim(t.channels)), "sighting_id", "id").select("sighting_id", "id", "rank")
+    return L.narrowest_first(t.sightings, slim(t.channels), "sighting_id", "id", 32).select("sighting_id", "id", "rank")
 
 
 @query("l7_top_1", f"SELECT * FROM ({RANKED}) x WHERE rank <= 1")
@@ -185,7 +187,7 @@ def _(t):
     return L.footnote_texts(L.bands_in(spans(t), t.bands), notes, "span_id")
 
 
-@query("l18_answer", f"""
+ANSWER = f"""
 WITH {SAID}, {NOTES}, ids AS (SELECT band_id, string_agg(id || '=' || class || '=' || text, ',' ORDER BY id) AS f FROM notes GROUP BY band_id),
 c AS (SELECT span_id, string_agg(id, ';' ORDER BY c.hi_hz - c.lo_hz, c.lo_hz, c.hi_hz, id) AS channels FROM spans s JOIN channels c ON c.lo_hz < s.hi_hz AND c.hi_hz > s.lo_hz AND s.lo_hz < s.hi_hz GROUP BY span_id),
 b AS (SELECT span_id, string_agg(b.band_id || '/' || services || '/' || COALESCE(f, ''), ';' ORDER BY b.hi_hz - b.lo_hz, b.lo_hz, b.hi_hz, b.band_id) AS bands
@@ -193,17 +195,29 @@ b AS (SELECT span_id, string_agg(b.band_id || '/' || services || '/' || COALESCE
 r AS (SELECT span_id, string_agg(part || ' ' || name, ';' ORDER BY {PART_NO}, part, name) AS rule_parts
       FROM (SELECT DISTINCT span_id, part, name FROM spans s JOIN rule_parts r ON r.lo_hz < s.hi_hz AND r.hi_hz > s.lo_hz AND s.lo_hz < s.hi_hz) x GROUP BY span_id)
 SELECT s.span_id, COALESCE(channels, '') AS channels, COALESCE(bands, '') AS bands, COALESCE(rule_parts, '') AS rule_parts
-FROM spans s LEFT JOIN c ON c.span_id = s.span_id LEFT JOIN b ON b.span_id = s.span_id LEFT JOIN r ON r.span_id = s.span_id""")
-def _(t):
-    out = L.answer(spans(t), t.channels.select("id", "lo_hz", "hi_hz", "name"), t.bands, t.services, t.band_footnote, t.footnote_defs, t.rule_parts, "span_id")
+FROM spans s LEFT JOIN c ON c.span_id = s.span_id LEFT JOIN b ON b.span_id = s.span_id LEFT JOIN r ON r.span_id = s.span_id"""
+
+
+def answers(t: Tables, probes: DataFrame, probe_id: str) -> DataFrame:
+    out = L.answer(probes, t.channels.select("id", "lo_hz", "hi_hz", "name"), t.bands, t.services, t.band_footnote, t.footnote_defs, t.rule_parts, probe_id)
     service = lambda s: F.concat_ws(":", s["ordinal"].cast("string"), s["name"], s["is_primary"].cast("string"))
     band = lambda b: F.concat_ws("/", b["band_id"].cast("string"), F.array_join(F.transform(b["services"], service), "|"), F.array_join(F.transform(b["footnotes"], lambda n: F.concat_ws("=", n["id"], n["class"], n["text"])), ","))
     return out.select(
-        "span_id", F.array_join(F.transform("channels", lambda c: c["id"]), ";").alias("channels"), F.array_join(F.transform("bands", band), ";").alias("bands"),
+        probe_id, F.array_join(F.transform("channels", lambda c: c["id"]), ";").alias("channels"), F.array_join(F.transform("bands", band), ";").alias("bands"),
         F.array_join(F.transform("rule_parts", lambda r: F.concat_ws(" ", r["part"], r["name"])), ";").alias("rule_parts"),
     )
 
 
+@query("l18_answer", ANSWER)
+def _(t):
+    return answers(t, spans(t), "span_id")
+
+
+@query("l18_answer_at", re.sub(r"\bspan_id\b", "sighting_id", ANSWER.replace("FROM spans s", "FROM (SELECT sighting_id, hz AS lo_hz, hz + 1 AS hi_hz FROM sightings_low) s")))
+def _(t):
+    return answers(t, t.sightings_low.select("sighting_id", "hz"), "sighting_id")
+
+
 @query("l19_fmt_hz", "SELECT sighting_id, hz, CASE WHEN abs(hz) >= 1000000000 THEN printf('%g', hz / 1e9) || ' GHz' WHEN abs(hz) >= 1000000 THEN printf('%g', hz / 1e6) || ' MHz' WHEN abs(hz) >= 1000 THEN printf('%g', hz / 1e3) || ' kHz' ELSE hz || ' Hz' END AS shown FROM sightings")
 def _(t):
     return t.sightings.select("sighting_id", "hz", H.fmt_hz("hz").alias("shown"))
@@ -299,6 +313,16 @@ def _(t):
     return V.diff_builds(t.bands, t.bands_faulty)
 
 
+#: A build with one band changed and one that comes twice.
+EDITED = "SELECT band_id, jurisdiction, lo_hz, CASE WHEN band_id = 77 THEN hi_hz + 5 ELSE hi_hz END AS hi_hz, seq FROM bands UNION ALL SELECT band_id, jurisdiction, lo_hz, hi_hz, seq FROM bands WHERE band_id = 150"
+
+
+@query("v12_diff_by_ranges", f"""WITH edited AS ({EDITED})
+SELECT *, 'a' AS side FROM (SELECT * FROM bands EXCEPT ALL SELECT * FROM edited) x UNION ALL SELECT *, 'b' FROM (SELECT * FROM edited EXCEPT ALL SELECT * FROM bands) y""")
+def _(t):
+    return V.diff_by_ranges(t.bands, t.sql(EDITED), "band_id")
+
+
 def chunk_rows(t: Tables, source: DataFrame | None = None) -> DataFrame:
     """Chunks of the fixture's cells, which have no table place of their own."""
     cells = (source or t.cells).select(F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("table_index"), F.col("seq").cast("long").alias("row_index"), F.lit(0).alias("cell_index"), F.array(F.lit("us_federal")).alias("columns"), "text", "unit")
@@ -354,14 +378,19 @@ def _(t):
     return G.inherit_merged(G.place_cells(t.grid_cells, grids)).select("doc_id", "table_index", "row_index", "cell_index", "text")
 
 
-@query("p4_sections", r"""
-WITH r AS (SELECT doc_id, table_index, row_index, string_agg(text, chr(10) ORDER BY cell_index) AS joined FROM grid_cells GROUP BY ALL),
+#: Some rows have the title twice, the first time without a range; in others white space parts a number, which opens nothing.
+TITLED = """SELECT doc_id, table_index, row_index, cell_index, CASE WHEN row_index % 21 = 0 THEN REPLACE(text, 'Table of Frequency', 'Table of Frequency Allocations (cont.) Table of Frequency')
+WHEN row_index % 35 = 0 THEN REPLACE(text, '-99.5', ' 5-99.5') WHEN row_index % 28 = 0 THEN REPLACE(text, '-99.5', ' - 99.5') ELSE text END AS text FROM grid_cells"""
+
+
+@query("p4_sections", rf"""
+WITH titled AS ({TITLED}), r AS (SELECT doc_id, table_index, row_index, string_agg(text, chr(10) ORDER BY cell_index) AS joined FROM titled GROUP BY ALL),
 o AS (SELECT *, regexp_extract(joined, 'Table of Frequency Allocations\s+[\d.]+\s*-\s*[\d.]+\s*(kHz|MHz|GHz)', 1) AS unit FROM r),
 f AS (SELECT *, last_value(NULLIF(unit, '') IGNORE NULLS) OVER w AS u FROM o WINDOW w AS (PARTITION BY doc_id ORDER BY table_index, row_index))
 SELECT c.doc_id, c.table_index, c.row_index, cell_index, COALESCE(u, 'kHz') AS unit, CASE WHEN u IS NULL THEN '' ELSE 'VHF' END AS section_label
 FROM grid_cells c JOIN f ON f.doc_id = c.doc_id AND f.table_index = c.table_index AND f.row_index = c.row_index WHERE f.unit = ''""")
 def _(t):
-    return G.sections(t.grid_cells).select("doc_id", "table_index", "row_index", "cell_index", "unit", "section_label")
+    return G.sections(t.sql(TITLED)).select("doc_id", "table_index", "row_index", "cell_index", "unit", "section_label")
 
 
 #: Grid cells with pages of seven columns: a heading row for every ninth part, rows of bands below.
@@ -402,7 +431,36 @@ def assigned(t: Tables) -> DataFrame:
     return G.assign_columns(G.drop_headers(G.column_bounds(G.sections(pages(t)))))
 
 
-@query("p7_assign_columns")
+#: The choice of columns as a recursion over the rows of a document: all placements of a row's cells are scored with the state before it.
+CHOICE = rf"""
+WITH RECURSIVE {BOUNDED},
+h AS (SELECT DISTINCT doc_id, table_index, row_index FROM pages WHERE contains(text, 'Table') OR contains(text, 'FCC Rule')),
+c AS (SELECT p.doc_id, p.table_index, p.row_index, cell_index, text, split_part(text, chr(10), 1) AS line, COALESCE(u, [0.0, 0.148, 0.317, 0.503, 0.702, 0.88, 1.0]::DOUBLE[]) AS b, CAST(x0 AS DOUBLE) AS x0, CAST(x1 AS DOUBLE) AS x1
+      FROM pages p JOIN f ON f.doc_id = p.doc_id AND f.table_index = p.table_index AND f.row_index = p.row_index
+      WHERE text <> '' AND (p.doc_id, p.table_index, p.row_index) NOT IN (SELECT (doc_id, table_index, row_index) FROM h)),
+told AS (SELECT *, CASE WHEN regexp_matches(line, '^\d+-\d+$') THEN CAST(split_part(line, '-', 1) AS BIGINT) * 1000 END AS lo, CASE WHEN regexp_matches(line, '^\d+-\d+$') THEN CAST(split_part(line, '-', 2) AS BIGINT) * 1000 END AS hi,
+         [2.0 * (greatest(0.0, least(x1, b[k + 1]) - greatest(x0, b[k])) / (b[k + 1] - b[k])) - 1.0 for k in [1, 2, 3, 4, 5, 6]] AS e,
+         [regexp_matches(text, '\bG\d+[A-Z]*\b'), regexp_matches(text, '\bNG\d+[A-Z]*\b'), regexp_matches(text, '\bUS\d+[A-Z]*\b'), regexp_matches(text, '^[^\n]+\(\d+[A-Z]?\)$')] AS says FROM c),
+page_rows AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY table_index, row_index) AS rn FROM (SELECT doc_id, table_index, row_index, count(*) AS n, list(struct_pack(lo := lo, hi := hi, e := e, says := says, i := cell_index) ORDER BY cell_index) AS cells FROM told GROUP BY doc_id, table_index, row_index) listed),
+pl AS (SELECT 0 AS n, CAST([] AS STRUCT(a BIGINT, z BIGINT)[]) AS runs, CAST([] AS BIGINT[]) AS k, 1::BIGINT AS nxt
+       UNION ALL SELECT n + 1, list_append(runs, struct_pack(a := x.a, z := y.z)), list_concat(k, [-x.a, y.z]), y.z + 1 FROM pl, range(1, 7) x(a), range(1, 7) y(z) WHERE n < 6 AND x.a >= nxt AND y.z >= x.a),
+w AS (SELECT doc_id, 0::BIGINT AS rn, CAST([NULL, NULL, NULL, NULL, NULL, NULL] AS STRUCT(lo BIGINT, hi BIGINT)[]) AS st, CAST(NULL AS STRUCT(a BIGINT, z BIGINT)[]) AS runs FROM page_rows GROUP BY doc_id
+      UNION ALL
+      SELECT doc_id, rn + 1, list_transform([1, 2, 3, 4, 5, 6], lambda k: COALESCE(list_filter(list_transform(range(1, len(cells) + 1), lambda i: CASE WHEN runs[i].a <= k AND k <= runs[i].z AND cells[i].lo IS NOT NULL THEN struct_pack(lo := cells[i].lo, hi := cells[i].hi) END), lambda x: x IS NOT NULL)[1], st[k])), runs
+      FROM (SELECT w.doc_id, w.rn, w.st, q.cells, arg_min(pl.runs, struct_pack(s := -list_reduce(list_concat([0.0::DOUBLE], list_reverse(list_transform(range(1, q.n + 1), lambda i:
+              list_reduce(q.cells[i].e[pl.runs[i].a:pl.runs[i].z], lambda x, y: x + y)
+              + list_sum(list_transform([1, 2, 3, 4], lambda t: CASE WHEN NOT q.cells[i].says[t] THEN 0.0 WHEN CASE t WHEN 1 THEN pl.runs[i].a <= 4 AND pl.runs[i].z >= 4 WHEN 2 THEN pl.runs[i].a <= 5 AND pl.runs[i].z >= 5
+                           WHEN 3 THEN pl.runs[i].a <= 5 AND pl.runs[i].z >= 4 ELSE pl.runs[i].z = 6 END THEN 2.0 ELSE -100.0 END))
+              + CASE WHEN q.cells[i].lo IS NULL THEN 0.0 ELSE list_sum(list_transform(w.st[pl.runs[i].a:pl.runs[i].z], lambda s: CASE WHEN s IS NULL THEN 0.0 WHEN q.cells[i].lo = s.hi THEN 3.0 WHEN q.cells[i].lo = s.lo THEN 1.0 ELSE -2.0 END)) END))),
+              lambda x, y: y + x), k := pl.k)) AS runs
+            FROM w JOIN page_rows q ON q.doc_id = w.doc_id AND q.rn = w.rn + 1 JOIN pl ON pl.n = q.n GROUP BY w.doc_id, w.rn, w.st, q.cells) best)
+SELECT q.doc_id, q.table_index, q.row_index, q.cells[g.i].i AS cell_index,
+       array_to_string((['itu_r1', 'itu_r2', 'itu_r3', 'us_federal', 'us_non_federal', 'fcc_parts'])[w.runs[g.i].a:w.runs[g.i].z], ',') AS columns
+FROM w JOIN page_rows q ON q.doc_id = w.doc_id AND q.rn = w.rn, range(1, 7) g(i) WHERE g.i <= q.n
+"""
+
+
+@query("p7_assign_columns", CHOICE)
 def _(t):
     return assigned(t).select("doc_id", "table_index", "row_index", "cell_index", F.array_join("columns", ",").alias("columns"))
 
@@ -556,7 +614,7 @@ def _(t):
 # -------------------------------------------------------------------- normal forms
 @query("n1_number_bands", "SELECT seq, jurisdiction, row_number() OVER (ORDER BY jurisdiction, lo_hz, hi_hz, seq) AS band_id FROM bands")
 def _(t):
-    return N.number_bands(t.bands.drop("band_id"), ["lo_hz", "hi_hz", "seq"], "jurisdiction").select("seq", "jurisdiction", "band_id")
+    return N.number_bands(t.bands.drop("band_id"), ["jurisdiction", "lo_hz", "hi_hz", "seq"]).select("seq", "jurisdiction", "band_id")
 
 
 def nested(t: Tables) -> DataFrame:
@@ -619,7 +677,7 @@ def _(t):
 # --------------------------------------------------------------------- sources, sinks
 def _scratch(t: Tables, name: str) -> str:
     """A folder all executors share, for queries that write and read back."""
-    return S.shared_path(t.spark, name)
+    return shared_path(t.spark, name)
 
 
 @query("s1_read_channels", "SELECT id, jurisdiction, lo_hz, hi_hz, name || ', \"x\"' AS name, service FROM channels")
@@ -688,6 +746,21 @@ def _(t):
     return _all([_text(k, t.spark.read.parquet(f"{path}/{k}"), columns) for k, (_, columns) in TABLE_COLUMNS.items()])
 
 
+@query("s3_write_build", f"WITH {METAS} SELECT key, value FROM meta")
+def _(t):
+    path = _scratch(t, "build")
+    S.write_build({k: v for k, v in _built(t).items() if k != "meta"}, path)
+    return t.spark.read.parquet(f"{path}/meta")
+
+
+@query("s3_saved_tables", "SELECT b.band_id, COALESCE(string_agg(ordinal || ':' || name, '|' ORDER BY ordinal), '') AS services FROM bands b LEFT JOIN services s ON s.band_id = b.band_id WHERE jurisdiction = 'us-federal' GROUP BY b.band_id")
+def _(t):
+    path = _scratch(t, "saved")
+    saved = S.save_tables({"band": t.bands, "service": t.services}, path, "t" + path.split("hertzmill-io-")[1].split("/")[0])
+    rich = L.band_services(saved["band"].where("jurisdiction = 'us-federal'").select("band_id"), saved["service"])
+    return rich.select("band_id", F.array_join(F.transform("services", lambda x: F.concat_ws(":", x["ordinal"].cast("string"), x["name"])), "|").alias("services"))
+
+
 @query("s4_export_nested", f"""
 WITH {OUTPUTS}, w AS (SELECT band_id, string_agg(footnote_id, ' ' ORDER BY footnote_id) AS f FROM band_footnote WHERE scope = 'band' GROUP BY band_id),
 o AS (SELECT band_id, service_ordinal AS ordinal, string_agg(footnote_id, ' ' ORDER BY footnote_id) AS f FROM band_footnote WHERE scope = 'service' GROUP BY ALL),

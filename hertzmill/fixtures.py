@@ -156,8 +156,8 @@ def with_fixtures(sql: str) -> str:
                 found.append(name)
 
     add(sql)
-    own = re.match(r"\s*WITH\s+", sql)
+    own = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", sql)
     ctes = ",\n".join(f"{name} AS ({FIXTURES[name]})" for name in found)
     if not found:
         return sql
-    return f"WITH {ctes}" + (f",\n{sql[own.end():]}" if own else f"\n{sql}")
+    return f"WITH {own[1] or '' if own else ''}{ctes}" + (f",\n{sql[own.end():]}" if own else f"\n{sql}")

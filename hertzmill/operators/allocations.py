@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cells import FOOTNOTE, is_pointer, let, lines_of, rejoin_lines, split_bands, strip_line
+from ..plans.ordered import scan
 
 # The words of headings and marks, and the column's jurisdictions.
 JURISDICTION_OF = {"itu_r1": "itu-r1", "itu_r2": "itu-r2", "itu_r3": "itu-r3", "us_federal": "us-federal", "us_non_federal": "us-non-federal"}
@@ -97,12 +98,10 @@ def rule_parts(cells: DataFrame) -> DataFrame:
     spans = F.filter(split_bands(F.col("text"), F.col("unit")), lambda c: c["lo_hz"].isNotNull())
     last = let(spans, lambda s: F.when(F.size(s) > 0, F.struct(F.element_at(s, -1)["lo_hz"].alias("lo_hz"), F.element_at(s, -1)["hi_hz"].alias("hi_hz"))))
     # a cell is off the band path if it is of that column only, or a line of it was found, which takes a range before it
-    before = Window.partitionBy("doc_id").orderBy(*_order()).rowsBetween(Window.unboundedPreceding, -1)
-    maybe = marked.withColumn("own", F.when(~F.col("alone") & (F.size("hits") == 0), last)).withColumn("loose", F.when(~F.col("alone") & (F.size("hits") > 0), last))
-    ranged = maybe.withColumn("earlier", F.last("own", ignorenulls=True).over(before))
+    maybe = marked.select("doc_id", *_order(), "hits", F.when(~F.col("alone") & (F.size("hits") == 0), last).alias("own"), F.when(~F.col("alone") & (F.size("hits") > 0), last).alias("loose"))
     # cells with hits and no range yet keep to the band path, so the first such cell may give the first range
-    first_loose = F.first("loose", ignorenulls=True).over(before)
-    ranged = ranged.withColumn("span", F.coalesce("earlier", first_loose))
+    ranged = scan(maybe, ["doc_id"], _order(), before={"earlier": F.col("own")}, firsts={"first_loose": F.col("loose")})
+    ranged = ranged.withColumn("span", F.coalesce("earlier", "first_loose"))
     return ranged.where("span is not null").select("doc_id", *_order(), "span.lo_hz", "span.hi_hz", F.posexplode("hits").alias("line", "h")).select("doc_id", *_order(), "line", "lo_hz", "hi_hz", "h.part", "h.name")
 
 
@@ -121,8 +120,7 @@ def fold_spills(parsed: DataFrame) -> DataFrame:
     """
     one = parsed.withColumn("column", F.explode("columns"))
     order = ["table_index", "row_index", "cell_index", "chunk"]
-    upto = Window.partitionBy("doc_id", "column").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    one = one.withColumn("no", F.sum(F.col("lo_hz").isNotNull().cast("int")).over(upto)).where("no > 0")
+    one = scan(one, ["doc_id", "column"], order, sums={"no": F.col("lo_hz").isNotNull().cast("int")}).where("no > 0")
     ids = F.concat("footnotes", F.flatten(F.transform("services", lambda s: s["footnotes"])))
     spill = F.struct(*order, ids.alias("ids"), F.col("services"))
     folded = one.groupBy("doc_id", "column", "no").agg(
@@ -155,18 +153,18 @@ def parse_footnotes(blocks: DataFrame) -> DataFrame:
     heading or a reserved entry closes the open one; other paragraphs and tables go on
     with it. Of entries with one id the later wins. Documents without notes give nothing.
     """
-    upto = Window.partitionBy("doc_id").orderBy("block_index").rowsBetween(Window.unboundedPreceding, 0)
     text = strip_line(F.coalesce("text", F.lit("")))
     is_text = F.col("kind") == "p"
-    rows = blocks.withColumn("t", F.when(is_text, text)).withColumn("open", F.max(F.when(is_text & F.contains("text", F.lit(NOTES_START)), 1)).over(upto)).where("open = 1 and (kind != 'p' or t != '')")
+    begins = blocks.where(is_text & F.contains("text", F.lit(NOTES_START))).groupBy(F.col("doc_id").alias("_doc")).agg(F.min("block_index").alias("_begins"))
+    rows = blocks.withColumn("t", F.when(is_text, text)).join(begins, (F.col("doc_id") == F.col("_doc")) & (F.col("block_index") >= F.col("_begins"))).where("kind != 'p' or t != ''")
     heading = F.lit(None).cast("string")
     for name, words in reversed(HEADINGS.items()):
         heading = F.when(F.contains(F.substring("t", 1, 80), F.lit(words)), F.lit(name)).otherwise(heading)
-    rows = rows.withColumn("heading", heading).withColumn("class", F.last("heading", ignorenulls=True).over(upto)).where("class is not null")
-    rows = rows.withColumn("entry", F.when(F.col("heading").isNull(), entry_of(F.col("t")))).withColumn("id", F.col("entry.id"))
-    closes = F.col("heading").isNotNull() | (is_reserved(F.col("t")) & F.col("id").isNull())
-    rows = rows.withColumn("closes", F.coalesce(closes, F.lit(False)))
-    rows = rows.withColumn("event", F.sum(F.when(F.col("id").isNotNull() | F.col("closes"), 1).otherwise(0)).over(upto))
+    rows = rows.select("doc_id", "block_index", "kind", "t", heading.alias("heading")).withColumn("entry", F.when(F.col("heading").isNull(), entry_of(F.col("t")))).withColumn("id", F.col("entry.id"))
+    closes = F.coalesce(F.col("heading").isNotNull() | (is_reserved(F.col("t")) & F.col("id").isNull()), F.lit(False))
+    turns = F.when(F.col("id").isNotNull() | closes, 1).otherwise(0)
+    rows = scan(rows, ["doc_id"], ["block_index"], sums={"event": turns}, lasts={"class": F.col("heading")}).where("class is not null")
+    rows = rows.withColumn("closes", closes)
     said = F.when(F.col("id").isNotNull(), F.col("entry.said")).when(F.col("kind") != "p", TABLE_MARK).otherwise(F.col("t"))
     lines = F.transform(F.array_sort(F.collect_list(F.struct("block_index", said.alias("said")))), lambda x: x["said"])
     entries = rows.groupBy("doc_id", "event").agg(F.max("id").alias("id"), F.max_by("class", F.when(F.col("id").isNotNull(), F.col("block_index"))).alias("class"), F.min("block_index").alias("at"), strip_line(F.array_join(F.filter(lines, lambda x: x != ""), "\n")).alias("text"))

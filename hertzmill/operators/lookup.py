@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hertz import jurisdictions
-from ..plans.intervals import MANY, cut, highest_edge, least_at, least_in, point_join, segment_lookup, span_join
+from ..plans.intervals import MANY, cut, least_at, least_in, point_join, ranked_at, segment_lookup, span_join
+from ..plans.ordered import numbered, scan
 
 NO_RECORD = "No allocation on record"
 NO_TEXT = "(not reproduced in the FCC source document)"
@@ -57,13 +58,29 @@ def rank(matches: DataFrame, probe_id: str, item: str) -> DataFrame:
     return matches.withColumn("rank", F.row_number().over(order))
 
 
-def top_n(matches: DataFrame, probe_id: str, item: str, n: int = 32) -> DataFrame:
-    """The n narrowest matches of each probe. For one, a partial aggregate instead of a sort."""
-    if n > 1:
-        return rank(matches, probe_id, item).where(F.col("rank") <= n)
-    key = F.struct(F.col("hi_hz") - F.col("lo_hz"), "lo_hz", "hi_hz", item)
-    best = matches.groupBy(probe_id).agg(F.min_by(F.struct(*[c for c in matches.columns if c != probe_id]), key).alias("m"))
-    return best.select(probe_id, "m.*").withColumn("rank", F.lit(1))
+def _ranked(probes: DataFrame, probe_id: str, intervals: DataFrame, order: list[Column | str], shown: list[str], n: int | None = None) -> DataFrame:
+    """The columns of probes (hz), rank from 1 and shown of the intervals over each, in order, the first n; all of them by default.
+
+    Probes take the ranked list of their segment. An id that comes more than once, with
+    several frequencies, is one probe with all their matches: only those are joined and sorted.
+    """
+    repeated = probes.groupBy(probe_id).agg(F.count("*").alias("_n")).where("_n > 1").select(probe_id)
+    met = ranked_at(probes.join(repeated, probe_id, "left_anti"), intervals, order, shown, "_m", n=n)
+    lists = met.select(*probes.columns, F.posexplode("_m").alias("_i", "_x")).select(*probes.columns, (F.col("_i") + 1).alias("rank"), "_x.*")
+    keys = F.struct(*[(x if isinstance(x, Column) else F.col(x)).alias(f"k{i}") for i, x in enumerate(order)])
+    narrow = intervals.select("lo_hz", "hi_hz", keys.alias("_key"), F.struct(*shown).alias("_x"))
+    pairs = point_join(probes.join(repeated, probe_id, "left_semi"), narrow)
+    pairs = pairs.withColumn("rank", F.row_number().over(Window.partitionBy(probe_id).orderBy("_key"))).select(*probes.columns, "rank", "_x.*")
+    return lists.unionByName(pairs if n is None else pairs.where(F.col("rank") <= n))
+
+
+def narrowest_first(sightings: DataFrame, intervals: DataFrame, probe_id: str, item: str, n: int | None = None) -> DataFrame:
+    """L6 and L7 without a window over probes: the columns of sightings (hz), rank from 1 and item.
+
+    The n narrowest intervals over each point, all by default; ties as in rank(). A point
+    without any has no row.
+    """
+    return _ranked(sightings, probe_id, intervals, [F.col("hi_hz") - F.col("lo_hz"), "lo_hz", "hi_hz", item], [item], n)
 
 
 def narrowest_at(sightings: DataFrame, intervals: DataFrame, item: str) -> DataFrame:
@@ -78,41 +95,21 @@ def count_matches(probes: DataFrame, intervals: DataFrame, probe_id: str) -> Dat
     """Number of overlapping intervals of each span (p_lo, p_hi), 0 if none or empty, without the join.
 
     Of well-formed intervals, those that begin below p_hi less those that end at or below
-    p_lo. Both are ranks among sorted edges: two sorts by ranges instead of a pair per match.
+    p_lo. Both are ranks among sorted edges: one sort by ranges of equal depth, in which at
+    one frequency high edges come first, then probes, then low edges. Equal edges and equal
+    probes are one row each.
     """
-    good = intervals.where("lo_hz < hi_hz")
     real = probes.where("p_lo < p_hi").select(probe_id, "p_lo", "p_hi")
-    begun = _rank_of(real.select(probe_id, F.col("p_hi").alias("x")), good.select(F.col("lo_hz").alias("x")), probe_id, strict=True)
-    ended = _rank_of(real.select(probe_id, F.col("p_lo").alias("x")), good.select(F.col("hi_hz").alias("x")), probe_id, strict=False)
-    counted = begun.withColumnRenamed("n", "begun").join(ended.withColumnRenamed("n", "ended"), probe_id)
+    good = intervals.where("lo_hz < hi_hz")
+    zero = F.lit(0).cast("long")
+    edge = lambda c, turn: good.groupBy(F.col(c).alias("x")).agg(F.count("*").alias("n")).select("x", F.lit(turn).alias("turn"), F.when(F.lit(turn == 2), F.col("n")).otherwise(zero).alias("lows"), F.when(F.lit(turn == 0), F.col("n")).otherwise(zero).alias("highs"))
+    asked = real.select(F.explode(F.array("p_lo", "p_hi")).alias("x")).distinct().select("x", F.lit(1).alias("turn"), zero.alias("lows"), zero.alias("highs"))
+    rows = scan(edge("hi_hz", 0).unionByName(asked).unionByName(edge("lo_hz", 2)), [], ["x", "turn"], sums={"begun": F.col("lows"), "ended": F.col("highs")}).where("turn = 1")
+    counted = real.join(rows.select(F.col("x").alias("p_hi"), "begun"), "p_hi").join(rows.select(F.col("x").alias("p_lo"), "ended"), "p_lo")
     counted = counted.select(probe_id, (F.col("begun") - F.col("ended")).alias("n_matches"))
     return probes.select(probe_id).join(counted, probe_id, "left").select(probe_id, F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"))
 
 
-def _rank_of(probes: DataFrame, edges: DataFrame, probe_id: str, strict: bool) -> DataFrame:
-    """Number of edges below x (strict) or at most x, for each probe.
-
-    Edges are summed by cell of 2^24 Hz; a probe adds the sum of the cells before its own,
-    known per cell, and its rank inside the cell, a running sum over that cell alone.
-    Equal edges and equal probes are one row each, so a cell has 2^25 rows at most.
-    """
-    asked, probes = probes, probes.select("x").distinct()
-    edges = edges.groupBy("x").agg(F.count("*").alias("edge"))
-    cell = F.call_function("shiftright", F.col("x"), F.lit(24))
-    here = edges.groupBy(cell.alias("cell")).agg(F.sum("edge").alias("here")).unionByName(probes.select(cell.alias("cell")).distinct().withColumn("here", F.lit(0).cast("long")))
-    cells = here.groupBy("cell").agg(F.sum("here").alias("here")).withColumn("g", F.call_function("shiftright", F.col("cell"), F.lit(12)))
-    totals = cells.groupBy("g").agg(F.sum("here").alias("total"))
-    base = totals.select("g", (F.sum("total").over(Window.orderBy("g")) - F.col("total")).alias("base"))  # one row for 69 GHz
-    before = cells.join(base, "g").select("cell", (F.col("base") + F.sum("here").over(Window.partitionBy("g").orderBy("cell")) - F.col("here")).alias("before"))
-    tagged = edges.select("x", F.lit(int(strict)).alias("turn"), F.lit(False).alias("asked"), "edge").unionByName(
-        probes.select("x", F.lit(int(not strict)).alias("turn"), F.lit(True).alias("asked"), F.lit(0).cast("long").alias("edge"))
-    )
-    order = Window.partitionBy("cell").orderBy("x", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    inside = tagged.withColumn("cell", cell).withColumn("n", F.sum("edge").over(order)).where("asked")
-    ranks = inside.join(before, "cell").select("x", (F.col("before") + F.col("n")).alias("n"))
-    return asked.join(ranks, "x").select(probe_id, "n")
-
-
 def services_label(services: DataFrame, kind: str = "serving") -> DataFrame:
     """band_id and label of each band with services, in printed order.
 
@@ -151,9 +148,9 @@ def ranked_layers(sightings: DataFrame, channels: DataFrame, bands: DataFrame, s
     upper = bands.where(F.col("jurisdiction").startswith(prefix)).join(labels, "band_id", "left")
     upper = upper.select(F.lit("band").alias("layer"), F.coalesce("label", F.lit(EMPTY_LABEL["ranked"])).alias("what"), F.col("band_id").cast("string").alias("item"), "lo_hz", "hi_hz")
     lower = channels.select(F.lit("channel").alias("layer"), F.col("name").alias("what"), F.col("id").alias("item"), "lo_hz", "hi_hz")
-    met = point_join(sightings.select("sighting_id", "hz"), lower.unionByName(upper))
-    order = Window.partitionBy("sighting_id").orderBy(F.col("hi_hz") - F.col("lo_hz"), "lo_hz", "hi_hz", "layer", "what", "item")
-    return met.withColumn("rank", F.row_number().over(order)).select("sighting_id", "layer", "what", "lo_hz", "hi_hz", "rank")
+    order = [F.col("hi_hz") - F.col("lo_hz"), "lo_hz", "hi_hz", "layer", "what", "item"]
+    shown = ["layer", "what", "lo_hz", "hi_hz"]
+    return _ranked(sightings.select("sighting_id", "hz"), "sighting_id", lower.unionByName(upper), order, shown).select("sighting_id", *shown, "rank")
 
 
 def _rank_key(item: str, *shown: Column) -> Column:
@@ -222,32 +219,84 @@ def us_allocation(matches: DataFrame, services: DataFrame, notes: DataFrame) ->
     return us.withColumn("label", F.coalesce("label", F.lit(EMPTY_LABEL["report"]))).withColumn("footnotes", F.coalesce("footnotes", F.lit("")))
 
 
-def footnote_texts(matches: DataFrame, notes: DataFrame, probe_id: str) -> DataFrame:
-    """Distinct footnotes over all matched bands of each probe; a null text is replaced. Order is by id."""
-    met = matches.select(probe_id, "band_id").distinct().join(notes, "band_id").select(probe_id, "id", F.coalesce("text", F.lit(NO_TEXT)).alias("text"))
-    return met.dropDuplicates([probe_id, "id"])
+#: Words of 64 footnotes up to which a band's footnotes are that many columns; beyond, a row for each word that it has.
+WIDE = 64
 
 
-def answer(probes: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame, bridge: DataFrame, footnotes: DataFrame, rule_parts: DataFrame, probe_id: str) -> DataFrame:
-    """One row a probe with arrays channels, bands (services and footnotes in them) and rule_parts.
+def footnote_bits(notes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Footnotes as bits: (id, text, word, bit) of each id, (band_id, word, bits) of each band and word, and the number of words.
 
-    Arrays are narrowest first (rule parts by number) and empty where nothing matches.
-    Services and footnotes (id, class and text, by id) are attached to bands before the
-    join with probes; an undefined footnote is left out.
+    notes: of L11. Bits are numbered in order of the ids. An id with several texts has the least.
     """
-    join = point_join if "hz" in probes.columns else span_join
-    keys = [c for c in ("hz", "p_lo", "p_hi") if c in probes.columns]
-    slim = probes.select(probe_id, *keys)
+    dim = numbered(notes.groupBy("id").agg(F.min("text").alias("text")), "_no", "id")
+    dim = dim.select("id", "text", F.shiftright("_no", 6).cast("int").alias("word"), F.col("_no").bitwiseAND(63).cast("int").alias("bit"))
+    n_words = (dim.agg(F.max("word")).first()[0] or 0) + 1
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
+    held = notes.select("band_id", "id").join(dim.select("id", "word", "bit"), "id").groupBy("band_id", "word").agg(F.bit_or(one).alias("bits"))
+    return dim, held, n_words
+
+
+def footnote_texts(matches: DataFrame, notes: DataFrame, probe_id: str) -> DataFrame:
+    """Distinct footnotes over all matched bands of each probe; a null text is replaced. Order is by id.
+
+    A band's footnotes are bits of a few 64-bit words. A probe's are the words of its bands,
+    merged by bit-or, partly before the shuffle, and decoded once.
+    """
+    dim, held, n_words = footnote_bits(notes)
+    met = matches.select(probe_id, "band_id")
+    if n_words <= WIDE:
+        words = [f"w{i}" for i in range(n_words)]
+        wide = held.groupBy("band_id").agg(*[F.coalesce(F.bit_or(F.when(F.col("word") == i, F.col("bits"))), F.lit(0).cast("long")).alias(w) for i, w in enumerate(words)])
+        merged = met.join(wide, "band_id").groupBy(probe_id).agg(*[F.bit_or(w).alias(w) for w in words])
+        merged = merged.select(probe_id, F.posexplode(F.array(*words)).alias("word", "bits"))
+    else:
+        merged = met.join(held, "band_id").groupBy(probe_id, "word").agg(F.bit_or("bits").alias("bits"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit(F.col("bits"), i) == 1)
+    found = merged.where("bits != 0").select(probe_id, "word", F.explode(bits).alias("bit"))
+    return found.join(dim, ["word", "bit"]).select(probe_id, "id", F.coalesce("text", F.lit(NO_TEXT)).alias("text"))
+
+
+def _layers(channels: DataFrame, bands: DataFrame, services: DataFrame, bridge: DataFrame, footnotes: DataFrame, rule_parts: DataFrame) -> DataFrame:
+    """Channels, bands (with names, services and footnotes) and rule parts as one table of intervals, a struct of each layer's columns in it."""
     notes = band_footnotes(bands, bridge, footnotes).groupBy("band_id").agg(F.array_sort(F.collect_list(F.struct("id", "class", "text"))).alias("footnotes"))
     rich = _with_names(band_services(bands.select("band_id", "jurisdiction", "lo_hz", "hi_hz"), services).join(notes, "band_id", "left"))
     rich = rich.withColumn("footnotes", F.coalesce("footnotes", F.array().cast("array<struct<id:string,class:string,text:string>>")))
 
-    def gathered(items: DataFrame, item: str, name: str) -> DataFrame:
-        shown = F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), "lo_hz", "hi_hz", item, *[c for c in items.columns if c not in ("lo_hz", "hi_hz", item)])
-        return join(slim, items).groupBy(probe_id).agg(F.array_sort(F.collect_list(shown)).alias(name))
+    def narrow(items: DataFrame, item: str, name: str) -> DataFrame:
+        rest = [c for c in items.columns if c not in ("lo_hz", "hi_hz", item)]
+        return items.select("lo_hz", "hi_hz", F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), "lo_hz", "hi_hz", item, *rest).alias(name))
+
+    by_number = F.struct(part_number(F.col("part")).alias("number"), "part", "name").alias("rule_parts")
+    parts = rule_parts.select("lo_hz", "hi_hz", by_number)
+    return narrow(channels, "id", "channels").unionByName(narrow(rich, "band_id", "bands"), True).unionByName(parts, True)
+
 
-    parts = rule_parts_at(slim, rule_parts, probe_id).groupBy(probe_id).agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "part", "name"))), lambda x: F.struct(x["part"], x["name"])).alias("rule_parts"))
-    out = probes.join(gathered(channels, "id", "channels"), probe_id, "left").join(gathered(rich, "band_id", "bands"), probe_id, "left").join(parts, probe_id, "left")
-    for c in ("channels", "bands", "rule_parts"):
-        out = out.withColumn(c, F.coalesce(c, F.array().cast(out.schema[c].dataType)))
-    return out
+def _answers(found: DataFrame, matches: Column) -> DataFrame:
+    """found with the arrays channels, bands and rule_parts, from one array of matches of all layers."""
+    out = found.withColumn("_m", F.coalesce(matches, F.array().cast(found.select(matches).schema[0].dataType)))
+
+    def of(layer: str) -> Column:
+        return F.filter(F.col("_m")[layer], lambda x: x.isNotNull())
+
+    for c in ("channels", "bands"):
+        out = out.withColumn(c, F.array_sort(of(c)))
+    parts = F.array_sort(F.array_distinct(of("rule_parts")))
+    return out.withColumn("rule_parts", F.transform(parts, lambda x: F.struct(x["part"], x["name"]))).drop("_m")
+
+
+def answer(probes: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame, bridge: DataFrame, footnotes: DataFrame, rule_parts: DataFrame, probe_id: str) -> DataFrame:
+    """One row a probe with arrays channels, bands (services and footnotes in them) and rule_parts.
+
+    Arrays are narrowest first (rule parts by number) and empty where nothing matches.
+    Services and footnotes (id, class and text, by id) are attached to bands before
+    anything meets a probe; an undefined footnote is left out. The three layers are one
+    table of intervals. Points (hz) take the ranked list of their segment, so nothing is
+    gathered for a probe; spans (p_lo, p_hi) are joined once and gathered once.
+    """
+    layers = _layers(channels, bands, services, bridge, footnotes, rule_parts)
+    shown = ["channels", "bands", "rule_parts"]
+    if "hz" in probes.columns:
+        found = ranked_at(probes, layers, [F.col("hi_hz") - F.col("lo_hz"), "lo_hz", "hi_hz", *shown], shown, "_found")
+        return _answers(found, F.col("_found")).drop("_found")
+    met = span_join(probes.select(probe_id, "p_lo", "p_hi"), layers).groupBy(probe_id).agg(F.collect_list(F.struct(*shown)).alias("_found"))
+    return _answers(probes.join(met, probe_id, "left"), F.col("_found")).drop("_found")

@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.ordered import numbered
 from .validate import class_of
 
 
-def number_bands(bands: DataFrame, order: list[str], slice_by: str = "doc_id") -> DataFrame:
-    """Dense band_id from 1 in document order.
-
-    Rows are counted by slice_by, the first part of the order; a band's number is what
-    earlier slices hold plus its place in its own. Slices are summed by groups first (65,536
-    integers, or texts that begin with the same four characters), so no window runs over
-    all rows or all slices.
-    """
-    integral = dict(bands.dtypes)[slice_by] in ("tinyint", "smallint", "int", "bigint")
-    group = F.shiftright(F.col(slice_by).cast("long"), 16) if integral else F.substring(F.col(slice_by).cast("string"), 1, 4)
-    sizes = bands.groupBy(slice_by).agg(F.count("*").alias("_n")).withColumn("_group", group)
-    groups = sizes.groupBy("_group").agg(F.sum("_n").alias("_all"))
-    groups = groups.select("_group", (F.sum("_all").over(Window.orderBy("_group")) - F.col("_all")).alias("_base"))  # one row a group
-    inside = F.sum("_n").over(Window.partitionBy("_group").orderBy(slice_by)) - F.col("_n")
-    before = sizes.withColumn("_inside", inside).join(groups, sizes["_group"].eqNullSafe(groups["_group"])).select(F.col(slice_by).alias("_slice"), (F.col("_inside") + F.col("_base")).alias("_before"))
-    place = F.row_number().over(Window.partitionBy(slice_by).orderBy(*order))
-    out = bands.withColumn("_place", place).join(before, F.col(slice_by).eqNullSafe(F.col("_slice")))
-    return out.select(*[bands[c] for c in bands.columns], (F.col("_before") + F.col("_place")).cast("long").alias("band_id"))
+def number_bands(bands: DataFrame, order: list[str]) -> DataFrame:
+    """Dense band_id from 1 in document order, numbered by ranges of equal depth; nulls come first."""
+    rows = numbered(bands, "_place", *[F.asc_nulls_first(c) for c in order])
+    return rows.select(*bands.columns, (F.col("_place") + 1).alias("band_id"))
 
 
 def service_rows(bands: DataFrame) -> DataFrame:
@@ -47,10 +34,15 @@ def footnote_dim(bridge: DataFrame, definitions: DataFrame) -> DataFrame:
     return joined.select("id", F.coalesce("class", class_of(F.col("id")), F.lit("itu")).alias("class"), "text")
 
 
+def meta_rows(spark: SparkSession, counts: dict[str, int], revision: str = "unknown") -> DataFrame:
+    """Key and value from counts that are known."""
+    fixed = {"source_revision": revision, "frequency_unit": "hertz", "interval_convention": "half-open [lo_hz, hi_hz)"}
+    return spark.createDataFrame([*fixed.items(), *((k, str(n)) for k, n in counts.items())], "key string, value string")
+
+
 def meta(bands: DataFrame, channels: DataFrame, definitions: DataFrame, rule_parts: DataFrame, revision: str = "unknown") -> DataFrame:
-    """Key and value: counts, revision and conventions."""
-    fixed = [("source_revision", revision), ("frequency_unit", "hertz"), ("interval_convention", "half-open [lo_hz, hi_hz)")]
-    out = bands.sparkSession.createDataFrame(fixed, "key string, value string")
+    """Key and value: counts, revision and conventions. Where tables are written, write_build() counts them as they pass."""
+    out = meta_rows(bands.sparkSession, {}, revision)
     for key, df in (("band_count", bands), ("channel_count", channels), ("footnote_count", definitions), ("rule_part_count", rule_parts)):
         out = out.unionByName(df.agg(F.count("*").cast("string").alias("value")).select(F.lit(key).alias("key"), "value"))
     return out

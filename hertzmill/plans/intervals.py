@@ -5,22 +5,25 @@ Three plans with equal results:
 * ``broadcast``: nested loop against a broadcast interval side. Only behind a count of
   the intervals, ``FEW`` at most.
 * ``dyadic``: every interval goes to the one or two bins of its own power-of-two level; a
-  point is looked up in one bin of each level that occurs: an equi-join. Upper levels have
-  few bins, so points of a bin are dealt to several keys there and its intervals repeated.
-* ``segments``: the edges of all intervals cut the axis into disjoint segments, each with
-  the ranked intervals that cover it. A point has exactly one segment, so ranking is
-  done once on the static side; works on streams.
-
-Where only the least interval over a point is asked for, no pair is made: an interval is
-the union of at most two dyadic nodes a level, each node keeps its least interval, and a
-point takes the least of its ancestors.
+  point is looked up in one bin of each level that occurs: an equi-join. Bins that hold
+  many points, as a sample of them shows, are dealt to several keys and their intervals repeated.
+* ``segments``: the edges of all intervals cut the axis into disjoint, numbered segments.
+  A point has exactly one; the intervals over a segment are ranked once for all its points
+  (``ranked_at``), or only the least is kept (``least_in``), which works on streams.
+
+Intervals are runs of segments. A run is the union of a few nodes of a tree over the segment
+numbers, and a node keeps its least interval, or the list of its intervals, once for all
+segments below it. Intervals are numbered in rank order first, so that a minimum is one of
+longs and lists merge by number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import following, numbered
+
 #: Intervals up to which a nested loop against a broadcast is used.
 FEW = 1000
 #: Segments up to which the lookup side of ``segments`` is broadcast.
@@ -45,14 +48,41 @@ def binned(intervals: DataFrame, lo: str = "lo_hz", hi: str = "hi_hz") -> DataFr
     return with_level.withColumn("_bin", F.explode(F.sequence(_shift(F.col(lo), F.col("_level")), _shift(F.col(hi) - 1, F.col("_level")))))
 
 
-#: Keys that the points of a level are dealt to at least, where its bins are fewer.
-SPREAD = 256
+#: Keys for each shuffle partition that hot bins are dealt to, all points taken together.
+SPREAD = 8
+#: Rows of the probe side that are looked at to find its hot bins, about.
+SAMPLED = 200_000
+
 
+def hot_bins(probes: DataFrame, at: str, present: list[int]) -> dict[tuple[int, int], int]:
+    """(level, bin) of bins that hold more than their share of the probes, and the number of keys to deal each to.
 
-def _copies(level: Column, top: int) -> Column:
-    """Keys for each bin of a level whose bins go up to top."""
-    bins = _shift(F.lit(top), level) + 1
-    return F.greatest(F.lit(1), F.floor(F.lit(SPREAD) / bins)).cast("int")
+    A share is one in SPREAD times the shuffle partitions, measured on a sample. A level
+    has no more such bins than that, so the list is bounded whatever the probes are.
+    """
+    keys = SPREAD * int(probes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = probes.count()
+    some = probes.select(at).sample(min(1.0, SAMPLED / n), 1) if n > SAMPLED else probes.select(at)
+    some = some.where(F.col(at).isNotNull()).withColumn("_level", F.explode(F.array(*[F.lit(x) for x in present])))
+    bins = some.groupBy("_level", _shift(F.col(at), F.col("_level")).alias("_bin")).agg(F.count("*").alias("n"))
+    least = max(1, min(n, SAMPLED)) / keys
+    return {(r["_level"], r["_bin"]): int(r["n"] / least) + 1 for r in bins.where(F.col("n") > least).collect()}
+
+
+def _binned_join(probes: DataFrame, at: str, intervals: DataFrame, lo: str, hi: str, on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of probes and intervals that share a bin of the interval's level, each pair once."""
+    present = levels(intervals, lo, hi)
+    probe = probes.where(F.col(at).isNotNull())
+    if not present:
+        return probe.join(intervals.where("false"), list(on) or F.lit(True))
+    hot = hot_bins(probe, at, present)
+    spark = probes.sparkSession
+    keys = F.broadcast(spark.createDataFrame([(*k, n) for k, n in hot.items()], "_level int, _bin long, _keys int"))  # SPREAD x partitions a level at most
+    binned_probe = probe.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in present]))).withColumn("_bin", _shift(F.col(at), F.col("_level")))
+    dealt = F.pmod(F.xxhash64(*probes.columns), F.coalesce("_keys", F.lit(1))).cast("int")
+    binned_probe = binned_probe.join(keys, ["_level", "_bin"], "left").withColumn("_copy", dealt).drop("_keys")
+    repeated = binned(intervals, lo, hi).join(keys, ["_level", "_bin"], "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.coalesce("_keys", F.lit(1)) - 1))).drop("_keys")
+    return binned_probe.join(repeated, ["_level", "_bin", "_copy", *on])
 
 
 def levels(intervals: DataFrame, lo: str = "lo_hz", hi: str = "hi_hz") -> list[int]:
@@ -73,15 +103,7 @@ def point_join(points: DataFrame, intervals: DataFrame, hz: str = "hz", how: str
     if few:
         small = F.broadcast(intervals.where("lo_hz < hi_hz"))
         return points.join(small, list(on)).where(within) if on else points.join(small, within)
-    present = levels(intervals)
-    probe = points.where(F.col(hz).isNotNull())
-    if not present:
-        return probe.join(intervals.where("false"), list(on) or F.lit(True))
-    copies = _copies(F.col("_level"), highest_edge(intervals))
-    probe = probe.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in present]))).withColumn("_bin", _shift(F.col(hz), F.col("_level")))
-    probe = probe.withColumn("_copy", F.pmod(F.xxhash64(*points.columns), copies).cast("int"))
-    repeated = binned(intervals).withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
-    return probe.join(repeated, ["_level", "_bin", "_copy", *on]).where(within).drop("_level", "_bin", "_copy")
+    return _binned_join(points, hz, intervals, "lo_hz", "hi_hz", on).where(within).drop("_level", "_bin", "_copy")
 
 
 def span_join(spans: DataFrame, intervals: DataFrame, how: str | None = None) -> DataFrame:
@@ -95,12 +117,8 @@ def span_join(spans: DataFrame, intervals: DataFrame, how: str | None = None) ->
     if how == "broadcast" or how is None and intervals.limit(FEW + 1).count() <= FEW:
         return spans.join(F.broadcast(intervals.where("lo_hz < hi_hz")), (F.col("lo_hz") < F.col("p_hi")) & (F.col("hi_hz") > F.col("p_lo")))
     covers = point_join(spans, intervals, "p_lo", "dyadic")
-    inside_levels = levels(spans, "p_lo", "p_hi")
     columns = [*spans.columns, *intervals.columns]
-    if not inside_levels:
-        return covers.select(columns)
-    starts = intervals.where("lo_hz < hi_hz").withColumn("_level", F.explode(F.array(*[F.lit(n) for n in inside_levels]))).withColumn("_bin", _shift(F.col("lo_hz"), F.col("_level")))
-    begins = starts.join(binned(spans, "p_lo", "p_hi"), ["_level", "_bin"]).where("p_lo < lo_hz and lo_hz < p_hi")
+    begins = _binned_join(intervals.where("lo_hz < hi_hz"), "lo_hz", spans, "p_lo", "p_hi").where("p_lo < lo_hz and lo_hz < p_hi")
     return covers.select(columns).unionByName(begins.select(columns))
 
 
@@ -110,70 +128,134 @@ def overlap_join(probes: DataFrame, intervals: DataFrame, how: str | None = None
 
 
 def cut(*layers: DataFrame) -> DataFrame:
-    """Disjoint segments [s_lo, s_hi) that tile [0, 2^63 - 1), cut at all edges of the layers' intervals."""
+    """Disjoint segments [s_lo, s_hi) that tile [0, 2^63 - 1), cut at all edges of the layers' intervals and _seg numbers them from 0."""
     edges = layers[0].sparkSession.range(1).select(F.lit(0).cast("long").alias("s_lo"))
     for layer in layers:
         good = layer.where("lo_hz < hi_hz")
         edges = edges.unionByName(good.select(F.col("lo_hz").alias("s_lo"))).unionByName(good.select(F.col("hi_hz").alias("s_lo")))
-    return next_edge(edges.where("s_lo >= 0").distinct())
+    tiles = following(edges.where("s_lo >= 0").distinct(), "s_lo", "s_hi", "_seg")
+    return tiles.withColumn("s_hi", F.coalesce("s_hi", F.lit(TOP)))
 
 
-#: next_edge() looks for neighbours within so many hertz (so many edges at most), then among the parts.
-PART_BITS = 24
+def _runs(intervals: DataFrame, tiles: DataFrame) -> DataFrame:
+    """_no of each interval with the segments _from to below _to that it covers. Its edges are edges of the tiles; what lies below 0 is cut off."""
+    edges = tiles.select("s_lo", "_seg")
+    some = intervals.where("lo_hz < hi_hz and hi_hz > 0").select("_no", F.greatest("lo_hz", F.lit(0)).alias("lo_hz"), "hi_hz")
+    begun = some.join(edges.select(F.col("s_lo").alias("lo_hz"), F.col("_seg").alias("_from")), "lo_hz")
+    return begun.join(edges.select(F.col("s_lo").alias("hi_hz"), F.col("_seg").alias("_to")), "hi_hz").select("_no", "_from", "_to")
 
 
-def next_edge(edges: DataFrame) -> DataFrame:
-    """Adds s_hi, the next larger s_lo (TOP at the end), without a window over all rows.
+def canonical(runs: DataFrame, lo: str, hi: str, bits: int = 1, depth: int = 63) -> DataFrame:
+    """Each [lo, hi) as the fewest nodes of a tree in which a node of level n spans 2^(bits n) numbers: adds _level and _node.
 
-    lead works inside parts of 16.8 MHz; the last row of a part takes the first one of the
-    next part that has rows, of which there is one row a part.
+    Below level depth a level has at most 2 (2^bits - 1) of them: those that no node above holds.
     """
-    dealt = edges.withColumn("_part", _shift(F.col("s_lo"), F.lit(PART_BITS)))
-    firsts = dealt.groupBy("_part").agg(F.min("s_lo").alias("_first"))
-    following = firsts.withColumn("_after", F.lead("_first").over(Window.orderBy("_part"))).drop("_first")
-    inside = dealt.withColumn("s_hi", F.lead("s_lo").over(Window.partitionBy("_part").orderBy("s_lo")))
-    return inside.join(following, "_part").select("s_lo", F.coalesce("s_hi", "_after", F.lit(TOP)).alias("s_hi"))
-
-
-def canonical(intervals: DataFrame, lo: str = "lo_hz", hi: str = "hi_hz") -> DataFrame:
-    """Each well-formed interval as the fewest dyadic nodes, two a level at most: adds _level and _node."""
+    fan = 1 << bits
 
     def at(level: Column) -> Column:
-        first, after = -_shift(-F.col(lo), level), _shift(F.col(hi), level)
-        node = lambda x: F.struct(level.alias("level"), x.alias("node"))
-        return F.array(F.when((first < after) & (first % 2 != 0), node(first)), F.when((first < after) & (after % 2 != 0), node(after - 1)))
-
-    nodes = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(62)), at)), lambda x: x.isNotNull())
-    out = intervals.where(F.col(lo) < F.col(hi)).withColumn("_n", F.explode(nodes))
+        first, after = -_shift(-F.col(lo), level * bits), _shift(F.col(hi), level * bits)
+        inner, outer = -F.shiftright(-first, bits) * fan, F.shiftright(after, bits) * fan
+        whole = (inner >= outer) | (level == depth)
+        run = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<long>"))
+        nodes = F.when(whole, run(first, after)).otherwise(F.concat(run(first, inner), run(outer, after)))
+        # where the level above is empty, so are all others; a level with nothing between its ends holds nothing
+        return F.transform(nodes, lambda x: F.struct(level.alias("level"), x.alias("node")))
+
+    def empty_above(level: Column) -> Column:
+        return -_shift(-F.col(lo), level * bits) >= _shift(F.col(hi), level * bits)
+
+    nodes = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(depth)), lambda n: F.when(empty_above(n), F.array().cast("array<struct<level:int,node:bigint>>")).otherwise(at(n))))
+    out = runs.where(F.col(lo) < F.col(hi)).withColumn("_n", F.explode(nodes))
     return out.withColumn("_level", F.col("_n.level")).withColumn("_node", F.col("_n.node")).drop("_n")
 
 
-def least_at(points: DataFrame, intervals: DataFrame, value: Column, name: str, hz: str = "hz") -> DataFrame:
-    """(hz, name): for each different point that an interval covers, the least value among those.
+def _least_above(probe: DataFrame, key: str, nodes: DataFrame, top: int, least: int = 0) -> DataFrame:
+    """(key, _no): the least _no of the binary nodes over each key. Keys lie between least and top.
 
-    value: a struct that orders the intervals, rank first. Work is linear in points and
-    intervals, whatever the number of intervals over a point. Nodes of the upper levels,
-    fewer than FEW a level, are broadcast, so that their points don't meet in one task.
+    Nodes of the upper levels, fewer than FEW a level, are broadcast, so that their keys don't
+    meet in one task.
     """
-    nodes = canonical(intervals.select("lo_hz", "hi_hz", value.alias(name))).groupBy("_level", "_node").agg(F.min(name).alias(name))
-    least, top = intervals.agg(F.coalesce(F.min("lo_hz"), F.lit(0)), F.coalesce(F.max("hi_hz"), F.lit(0))).first()
     present = range(max(top, -least).bit_length() + 1)  # 64 levels at most
     wide = [n for n in present if (top >> n) < FEW]
     narrow = [n for n in present if (top >> n) >= FEW]
-    probe = points.select(hz).where(F.col(hz).isNotNull()).distinct()
     out = None
     for some in (wide, narrow):
         if some:
             here = nodes.where(F.col("_level").isin(*some))
-            looked = probe.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in some]))).withColumn("_node", _shift(F.col(hz), F.col("_level")))
-            met = looked.join(F.broadcast(here) if some is wide else here, ["_level", "_node"]).select(hz, name)
+            looked = probe.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in some]))).withColumn("_node", _shift(F.col(key), F.col("_level")))
+            met = looked.join(F.broadcast(here) if some is wide else here, ["_level", "_node"]).select(key, "_no")
             out = met if out is None else out.unionByName(met)
-    return out.groupBy(hz).agg(F.min(name).alias(name))
+    return out.groupBy(key).agg(F.min("_no").alias("_no"))
+
+
+def _least_nodes(runs: DataFrame, lo: str, hi: str, depth: int = 63) -> DataFrame:
+    return canonical(runs, lo, hi, depth=depth).groupBy("_level", "_node").agg(F.min("_no").alias("_no"))
+
+
+def least_at(points: DataFrame, intervals: DataFrame, value: Column, name: str, hz: str = "hz") -> DataFrame:
+    """(hz, name): for each different point that an interval covers, the least value among those.
+
+    value: a struct that orders the intervals, rank first. Work is linear in points and
+    intervals, whatever the number of intervals over a point.
+    """
+    ranks = numbered(intervals.where("lo_hz < hi_hz").select("lo_hz", "hi_hz", value.alias(name)), "_no", name)
+    least, top = ranks.agg(F.coalesce(F.min("lo_hz"), F.lit(0)), F.coalesce(F.max("hi_hz"), F.lit(0))).first()
+    probe = points.select(hz).where(F.col(hz).isNotNull()).distinct()
+    found = _least_above(probe, hz, _least_nodes(ranks.select("_no", "lo_hz", "hi_hz"), "lo_hz", "hi_hz"), top, least)
+    return found.join(ranks.select("_no", name), "_no").select(hz, name)
 
 
 def least_in(tiles: DataFrame, intervals: DataFrame, value: Column, name: str) -> DataFrame:
-    """Adds to each segment the least value among the intervals that cover it, null if none does."""
-    return tiles.join(least_at(tiles, intervals, value, name, "s_lo"), "s_lo", "left")
+    """Adds to each segment the least value among the intervals that cover it, null if none does.
+
+    tiles: of cut(), the intervals among its layers. Nodes are runs of segments, so their
+    levels follow from the number of segments, not from the hertz.
+    """
+    ranks = numbered(intervals.where("lo_hz < hi_hz").select("lo_hz", "hi_hz", value.alias(name)), "_no", name)
+    top = tiles.count()
+    nodes = _least_nodes(_runs(ranks, tiles), "_from", "_to", top.bit_length())
+    found = _least_above(tiles.select("_seg"), "_seg", nodes, top)
+    return tiles.join(found, "_seg", "left").join(ranks.select("_no", name), "_no", "left").drop("_no")
+
+
+#: Binary digits of a segment's number that one level of the list tree takes.
+LIST_BITS = 5
+
+
+def ranked_at(points: DataFrame, intervals: DataFrame, order: list[str | Column], shown: list[str | Column], name: str = "matches", hz: str = "hz", n: int | None = None) -> DataFrame:
+    """Adds name to points, repeated ones included: an array of structs (shown) of the intervals over each, in order, the first n of them.
+
+    Empty where nothing covers the point, null and negative points among them. An interval
+    is listed once in each node of a tree over the segments, which all segments below share.
+    The lists of a segment's ancestors, sorted each, are merged once for each segment that has
+    points, so no probe is ranked by itself, and what is merged is no more than the answer.
+    """
+    good = intervals.where("lo_hz < hi_hz")
+    ranks = _ranked(good, order, shown)
+    tiles = cut(good)
+    n_segs = tiles.count()
+    depth = max(0, -(-n_segs.bit_length() // LIST_BITS) - 1)
+    listed = canonical(_runs(ranks, tiles), "_from", "_to", LIST_BITS, depth).join(ranks.select("_no", "_shown"), "_no")
+    lists = listed.groupBy("_level", "_node").agg(F.array_sort(F.collect_list(F.struct("_no", "_shown"))).alias("_list"))
+    if n is not None:
+        lists = lists.withColumn("_list", F.slice("_list", 1, n))
+    top = highest_edge(good)
+    probe = segment_lookup(points, tiles, top, n_segs <= MANY, hz)
+    merged = probe.select("_seg").distinct()
+    for level in range(depth + 1):
+        here = lists.where(F.col("_level") == level).select(F.col("_node").alias("_at"), F.col("_list").alias(f"_l{level}"))
+        merged = merged.join(here, F.shiftright("_seg", LIST_BITS * level) == F.col("_at"), "left").drop("_at")
+    parts = [F.col(f"_l{level}") for level in range(depth + 1)]
+    kind = lists.schema["_list"].dataType
+    every = F.array_sort(F.flatten(F.array(*[F.coalesce(p, F.array().cast(kind)) for p in parts])))
+    merged = merged.select("_seg", F.transform(F.slice(every, 1, n) if n is not None else every, lambda x: x["_shown"]).alias(name))
+    return probe.join(merged, "_seg").drop("_seg")
+
+
+def _ranked(intervals: DataFrame, order: list[str | Column], shown: list[str | Column]) -> DataFrame:
+    """lo_hz, hi_hz, _shown and _no, the place of each interval in the order."""
+    keys = F.struct(*[(x if isinstance(x, Column) else F.col(x)).alias(f"o{i}") for i, x in enumerate(order)])
+    return numbered(intervals.select("lo_hz", "hi_hz", keys.alias("_order"), F.struct(*shown).alias("_shown")), "_no", "_order").drop("_order")
 
 
 #: Cells of equal width that the occupied axis is cut into for the lookup of a point's segment.

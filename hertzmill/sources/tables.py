@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hertz import JURISDICTIONS, jurisdictions, mhz_to_hz, strip
 from ..operators.lookup import services_label
+from ..operators.normalize import meta_rows
 
 CSV_COLUMNS = ("id", "lo_mhz", "hi_mhz", "name", "service", "description", "mode", "tags", "source")
 GRID = "doc_id long, table_index long, row_index long, cell_index int, span int, merged_up boolean, text string"
@@ -17,21 +16,6 @@ BLOCKS = "doc_id long, block_index int, kind string, text string"
 MAX_TABLES = 61
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir, which the driver and all executors share; an error where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return f"{base.rstrip('/')}/hertzmill-io-{uuid.uuid4().hex}/{name}"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written once to the shared folder and read from there."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read_channels(spark: SparkSession, path: str) -> DataFrame:
     """<path>/<jurisdiction>/*.csv with a header; fields are trimmed, rows with a blank id go, MHz become hertz."""
     rows = spark.read.schema(", ".join(f"{c} string" for c in CSV_COLUMNS)).csv(f"{path}/*/*.csv", header=True, quote='"', escape='"')
@@ -50,12 +34,49 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(path)
 
 
+def _by_ranges(df: DataFrame) -> DataFrame:
+    return df.repartitionByRange("lo_hz").sortWithinPartitions("lo_hz", "hi_hz") if "lo_hz" in df.columns else df
+
+
 def write_tables(tables: dict[str, DataFrame], path: str) -> None:
     """S3: each table as Parquet; bands and channels are dealt by ranges of lo_hz and sorted, so that readers can skip files."""
     for name, df in tables.items():
-        if "lo_hz" in df.columns:
-            df = df.repartitionByRange("lo_hz").sortWithinPartitions("lo_hz", "hi_hz")
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        _by_ranges(df).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+#: Keys of meta and the tables that they count.
+COUNTED = {"band_count": "band", "channel_count": "channel", "footnote_count": "footnote", "rule_part_count": "rule_part"}
+
+
+def write_build(tables: dict[str, DataFrame], path: str, revision: str = "unknown") -> dict[str, str]:
+    """S3 and N5 in one pass: write_tables() with the table meta, whose counts are taken while the rows are written. Returns meta."""
+    counts = {}
+    for name, df in tables.items():
+        seen = Observation(f"rows of {name}")
+        _by_ranges(df).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/{name}")
+        counts[name] = seen.get["n"]
+    spark = next(iter(tables.values())).sparkSession
+    meta = meta_rows(spark, {key: counts.get(name, 0) for key, name in COUNTED.items()}, revision)
+    meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+    return {r["key"]: r["value"] for r in meta.collect()}  # seven rows
+
+
+def save_tables(tables: dict[str, DataFrame], path: str, prefix: str, buckets: int = 32) -> dict[str, DataFrame]:
+    """S3 as tables of the catalog, <prefix>_<name>, stored below path: those with a band_id in buckets by it, bands also in a folder a jurisdiction.
+
+    Operators that join or group by band_id (L9-L11, N2, N3) then move no rows, and a
+    filter on the jurisdiction reads its folder alone.
+    """
+    out = {}
+    for name, df in tables.items():
+        if "band_id" in df.columns:
+            writer = df.repartition(buckets, "band_id").write.bucketBy(buckets, "band_id").sortBy("band_id")
+            writer = writer.partitionBy("jurisdiction") if "jurisdiction" in df.columns else writer
+        else:
+            writer = _by_ranges(df).write
+        writer.mode("overwrite").option("path", f"{path}/{name}").saveAsTable(f"{prefix}_{name}")
+        out[name] = df.sparkSession.table(f"{prefix}_{name}")
+    return out
 
 
 def nested_bands(bands: DataFrame, services: DataFrame, bridge: DataFrame) -> DataFrame:

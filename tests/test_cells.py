@@ -159,7 +159,7 @@ def test_merged_and_bounds(spark):
 
 def test_numbers_are_dense_and_strict_errors_raise(spark):
     bands = spark.createDataFrame([(d, i) for d in (3, 1, 2) for i in range(4)], "doc_id long, seq long")
-    got = [r["band_id"] for r in N.number_bands(bands, ["seq"]).orderBy("doc_id", "seq").collect()]
+    got = [r["band_id"] for r in N.number_bands(bands, ["doc_id", "seq"]).orderBy("doc_id", "seq").collect()]
     assert got == list(range(1, 13))
     bad = spark.createDataFrame([("a", "us", 5, 5, "s")], "id string, jurisdiction string, lo_hz long, hi_hz long, source string")
     with pytest.raises(V.ChannelError):
@@ -172,3 +172,45 @@ def test_collapse_prints_first_and_last_region(spark):
     rows = [(1, f"itu-r{n}", 0, 10, ["A"]) for n in (3, 1)] + [(1, "itu-r2", 0, 10, ["B"])]
     df = spark.createDataFrame(rows, "p long, jurisdiction string, lo_hz long, hi_hz long, services array<string>")
     assert sorted(r["label"] for r in collapse_regions(df, "p").collect()) == ["ITU Region 2", "ITU Regions 1–3"]
+
+
+def test_every_title_is_looked_at(spark):
+    cases = {
+        "Table of Frequency Allocations 1-2 MHz (HF)": ("MHz", "HF"),
+        "Table of Frequency Allocations (cont.) Table of Frequency Allocations 1-2 MHz (HF)": ("MHz", "HF"),
+        "x\nTable of Frequency Allocations\n 0.5 - 137.25 GHz": ("GHz", ""),
+        "Table of Frequency Allocations\u00a01\u00a0-\u00a02kHz (a (b) c)": ("kHz", "a (b"),
+        "Table of Frequency Allocations 3-4 kHz Table of Frequency Allocations 5-6 GHz (later)": ("kHz", ""),
+        "Table of Frequency Allocations 1 2-3 MHz (HF)": None,
+        "Table of Frequency Allocations 12-3 4 MHz": None,
+        "Table of Frequency Allocations1-2 MHz": None,
+        "Table of Frequency Allocations -2 MHz": None,
+        "Table of Frequency Allocations 1-2 Hz": None,
+        "Table of Frequency Allocations": None,
+        "": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r["t"]: r["s"] and tuple(r["s"]) for r in df.select("t", G.section_of(F.col("t")).alias("s")).collect()}
+    assert got == cases
+
+
+def test_one_huge_document_spreads_over_tasks(spark):
+    """Sections, bounds, spills and entries of a single document of all rows equal those of a plain walk."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cells = [(1, i // 50, i, 0, f"Table of Frequency Allocations {i}-{i + 1} {'MHz' if i % 2 else 'GHz'} ({i})" if i % 37 == 5 else f"row {i}") for i in range(600)]
+        rows = spark.createDataFrame(cells, "doc_id long, table_index long, row_index long, cell_index int, text string")
+        unit, label, want = "kHz", "", {}
+        for _, _, i, _, text in cells:
+            if text.startswith("Table"):
+                unit, label = "MHz" if i % 2 else "GHz", str(i)
+            else:
+                want[i] = unit, label
+        assert {r["row_index"]: (r["unit"], r["section_label"]) for r in G.sections(rows).collect()} == want
+        blocks = [(1, 0, "p", "(a) Allocation Table. x"), (1, 1, "p", "(b) International footnotes. y")]
+        for i in range(2, 500):
+            blocks.append((1, i, "p", f"({i}) 5.{i} text" if i % 3 == 0 else f"more {i}"))
+        got = {r["id"]: r["text"] for r in A.parse_footnotes(spark.createDataFrame(blocks, "doc_id long, block_index int, kind string, text string")).collect()}
+        assert got == {f"5.{i}": "\n".join(["text", *(f"more {k}" for k in (i + 1, i + 2) if k < 500)]) for i in range(3, 500, 3)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -13,8 +13,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
+import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,14 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .packing import REMEMBERED, Encoder
+from .packing import REMEMBERED
 
 #: Bytes of text that are aligned at once, and bytes of a block; a longer text is cut where both tokenizers have an edge.
 AT_ONCE = 1 << 20
 BLOCK = 1 << 23
 #: An edge of both: no token of either joins a letter or digit with a space after it.
 _CUT = re.compile(r"(?<=[^\W_]) ")
-_WORD = re.compile(r" *[^ ]+| +")
+_PART = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
+_OTHER_SPACE = re.compile(r"[^\S \n\t]")
 _readers: dict = {}
 
 
@@ -42,80 +46,125 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-class ByteLevel(Encoder):
-    """Ids by a byte-level tokenizers file, strings of special tokens being plain text."""
+#: How a byte-level tokenizer parts a text before merging (fixed value: the pattern that the libraries have built in).
+PARTING = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+class ByteLevel:
+    """Ids by a byte-level tokenizers file, strings of special tokens being plain text.
+
+    Where the file is a plain one whose ids follow its merges, ASCII texts, on whose
+    characters all versions of Unicode agree, are encoded by tiktoken from the same vocabulary.
+    """
 
     def __init__(self, path: str) -> None:
-        super().__init__(path)
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core's work
+        self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         own = _byte_of_char()
         with open(path, encoding="utf-8") as f:
-            special = {x["id"] for x in json.load(f).get("added_tokens", [])}
+            told = json.load(f)
+        special = {x["id"] for x in told.get("added_tokens") or []}
         vocabulary = self.model.get_vocab()
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for piece, i in vocabulary.items():
             self.bytes[i] = piece.encode() if i in special else bytes(own[c] for c in piece)
+        merges = ["".join(x.split(" ") if isinstance(x, str) else x) for x in told["model"].get("merges") or []]
+        first = told.get("pre_tokenizer") or {}
+        plain = not told.get("normalizer") and first.get("type") == "ByteLevel" and not first.get("add_prefix_space") and first.get("use_regex", True)
+        plain = plain and not told["model"].get("ignore_merges") and [vocabulary.get(x) for x in merges] == list(range(256, 256 + len(merges))) and special.isdisjoint(range(256 + len(merges)))
+        self.fast = tiktoken.Encoding("own", pat_str=PARTING, mergeable_ranks={x: i for i, x in enumerate(self.bytes) if i not in special}, special_tokens={}).encode_ordinary if plain else None
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.ids(text), "<u4")
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        out = [self.fast(x) if self.fast and x.isascii() else None for x in texts]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(rest, self.model.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False) if rest else [], strict=True):
+            out[k] = x.ids
+        return out
 
 
 class Pieces:
     """Ids by a sentencepiece file that puts a space before the text.
 
-    No piece goes on after a character other than a space with a space, so a text is the
-    sequence of its words with the spaces before them. Ids of words are remembered.
+    parted: no piece goes on with white space after another character, so that a text is the
+    sequence of its words with the white space before them.
     """
 
     def __init__(self, path: str) -> None:
         import sentencepiece
 
-        self.model, self.known, self.older = sentencepiece.SentencePieceProcessor(model_file=path), {}, {}
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes = [bytes([int(x[3:5], 16)]) if self.model.is_byte(i) else x.replace("▁", " ").encode() for i, x in enumerate(names)]
-        self.space = [self.model.piece_to_id("▁")]
-        self.whole = any(re.search("[^▁]▁", x) for x in names)
-
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        return [x or self.space for x in self.model.encode([w[1:] for w in words], num_threads=1)]
-
-    def encode(self, text: str) -> np.ndarray:
-        """Ids of a text that begins with the space which the model adds."""
-        if self.whole:
-            return np.array(self._encode([text])[0], np.uint32)
-        words = _WORD.findall(text)
-        known, new = self.known, set(words).difference(self.known)
-        if new:
-            here = {x: self.older[x] for x in new if x in self.older}
-            new = [x for x in new if x not in here]
-            here.update((x, np.array(i, "<u4").tobytes()) for x, i in zip(new, self._encode(new), strict=True))
-            out = b"".join([here[x] if x in here else known[x] for x in words])
-            known.update((x, i) for x, i in here.items() if len(x) <= 64)
-            if len(known) > REMEMBERED:
-                self.known, self.older = {}, known
-        else:
-            out = b"".join(map(known.__getitem__, words))
-        return np.frombuffer(out, "<u4")
+        self.space = self.model.piece_to_id("▁")
+        self.parted = not any(re.search("[^▁]▁|[ \n\t]", x) for x in names)
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts that begin with white space. The model's own space stands for a first one; else it is left out, as nothing joins it."""
+        found = self.model.encode([x[1:] if x[0] == " " else x for x in texts], num_threads=1)
+        return [(i or [self.space]) if x[0] == " " else i[1:] for x, i in zip(texts, found, strict=True)]
 
 
 class Reader:
-    """Both tokenizers, and for each of their ids its length and its decimal text with what follows it."""
+    """Alignment of texts by both tokenizers.
+
+    At white space after another character both have an edge, so a text is aligned word by
+    word, each with the white space before it, and words are remembered: (n_a, n_b, n_groups,
+    the groups as text, the links' id pairs), or None if either tokenizer doesn't spell the
+    word byte for byte. Texts with rarer white space are one word.
+    """
 
     def __init__(self, path_a: str, path_b: str) -> None:
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         self.length = [np.array([len(x) for x in m.bytes], np.int64) for m in (self.a, self.b)]
         self.inner = [np.array([f"{i}," for i in range(len(m.bytes))], object) for m in (self.a, self.b)]
         self.last = [np.array([f"{i}{end}" for i in range(len(m.bytes))], object) for m, end in ((self.a, "|"), (self.b, ";"))]
-
-    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of a text that begins with a space; None unless both spell it byte for byte."""
-        raw, found = text.encode(), []
-        for model in (self.a, self.b):
-            ids = model.encode(text)
-            if b"".join(map(model.bytes.__getitem__, ids.tolist())) != raw:
-                return None
-            found.append(ids)
-        return found[0], found[1]
+        self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
+
+    def _align(self, parts: list[str]) -> Iterator[tuple | None]:
+        """Records of words, all of them coalesced at once."""
+        ids = [m.encode(parts) for m in (self.a, self.b)]
+        spelt = [[b"".join([m.bytes[i] for i in x]) for x in own] for m, own in zip((self.a, self.b), ids, strict=True)]
+        good = [x == y == part.encode() for part, x, y in zip(parts, *spelt, strict=True)]
+        ids = [[x for x, fine in zip(own, good, strict=True) if fine] for own in ids]
+        tokens = [np.fromiter(chain.from_iterable(own), np.int64) for own in ids]
+        if not len(tokens[0]):
+            yield from [None] * len(parts)
+            return
+        cut_a, cut_b = (np.cumsum([0, *map(len, own)]) for own in ids)
+        ends_a, ends_b = (np.cumsum(n[x]) for n, x in zip(self.length, tokens, strict=True))
+        order, begins, i, j = coalesce(ends_a, ends_b)
+        shown = _shown(self, tokens, order, np.cumsum(begins) - 1)
+        n_groups = np.add.reduceat(begins, (cut_a + cut_b)[:-1], dtype=np.int64).tolist()
+        together = ends_a[i] == ends_b[j]
+        pairs = ((tokens[1][j[together]] << 32) | tokens[0][i[together]]).astype("<i8").tobytes()
+        linked = (8 * np.searchsorted(i[together], cut_a)).tolist()
+        cut_a, cut_b = cut_a.tolist(), cut_b.tolist()
+        k = 0
+        for fine in good:
+            if not fine:
+                yield None
+                continue
+            yield cut_a[k + 1] - cut_a[k], cut_b[k + 1] - cut_b[k], n_groups[k], "".join(shown[cut_a[k] + cut_b[k] : cut_a[k + 1] + cut_b[k + 1]]), pairs[linked[k] : linked[k + 1]]
+            k += 1
+
+    def words(self, text: str) -> list[tuple | None]:
+        """Records of the words of a text that begins with a space."""
+        if not self.b.parted or _OTHER_SPACE.search(text):
+            return list(self._align([text]))
+        parts, known = _PART.findall(text), self.known
+        here = {x: self.older[x] if x in self.older else None for x in set(parts).difference(known)}
+        new = [x for x in here if x not in self.older]
+        here.update(zip(new, self._align(new), strict=True))
+        found = [here[x] if x in here else known[x] for x in parts] if here else list(map(known.__getitem__, parts))
+        known.update((x, i) for x, i in here.items() if len(x) <= 64)
+        if len(known) > REMEMBERED:
+            self.known, self.older = {}, known
+        return found
 
 
 def reader(path_a: str, path_b: str) -> Reader:
@@ -156,7 +205,7 @@ def _stretches(text: str) -> Iterator[str]:
     yield text[lo:]
 
 
-def _shown(tools: Reader, tokens: list[np.ndarray], order: np.ndarray, group: np.ndarray) -> list[str]:
+def _shown(tools: "Reader", tokens: list[np.ndarray], order: np.ndarray, group: np.ndarray) -> list[str]:
     """Decimal ids in order of group, A before B in each, with what follows each: a comma, a bar or a semicolon."""
     n_a = len(tokens[0])
     of = np.empty(len(order), np.int64)
@@ -176,17 +225,14 @@ def _aligned(tools: Reader, text: str | None):
         return none
     n_a, n_b, groups, held, links, sha = 0, 0, 0, "", [], hashlib.sha256()
     for stretch in _stretches(text):
-        found = tools.ids(stretch)
-        if found is None:
+        words = tools.words(stretch)
+        if None in words:
             return none
-        a, b = found
-        ends_a, ends_b = (np.cumsum(n[x]) for n, x in zip(tools.length, found, strict=True))
-        order, begins, i, j = coalesce(ends_a, ends_b)
-        together = ends_a[i] == ends_b[j]
-        links.append((b[j[together]].astype(np.int64) << 32) | a[i[together]])
-        n_a, n_b, groups = n_a + len(a), n_b + len(b), groups + int(begins.sum())
+        a, b, n, shown, pairs = zip(*words, strict=True)
+        n_a, n_b, groups = n_a + sum(a), n_b + sum(b), groups + sum(n)
         sha.update(held.encode())
-        held = "".join(_shown(tools, [a, b], order, np.cumsum(begins) - 1))
+        held = "".join(shown)
+        links.append(np.frombuffer(b"".join(pairs), "<i8"))
     sha.update(held[:-1].encode())
     return n_a, n_b, groups, sha.hexdigest(), np.concatenate(links)
 

@@ -123,12 +123,16 @@ BLOCK_ROWS, MOST_BLOCKS = 256, 1 << 16
 
 
 def _blocks(docs: DataFrame) -> tuple[list[int], bool]:
-    """Ids at which blocks of about equal numbers of documents begin, and whether an id is null."""
+    """Ids at which blocks of about equal numbers of documents begin, and whether an id is null.
+
+    Every so many-th id of each range of ids begins a block, the first one of a range too.
+    """
     n, nulls = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull())
-    ids = ids.repartitionByRange(max(1, min(MOST_BLOCKS, n // BLOCK_ROWS)), "doc_id")
-    found = ids.groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("first")).select("first").collect()
-    return sorted({r["first"] for r in found}), nulls > 0
+    rows = max(BLOCK_ROWS, -(-n // MOST_BLOCKS))
+    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    found = ids.withColumn("place", place).where(F.col("place") % rows == 0).select("doc_id").distinct().collect()
+    return sorted(r["doc_id"] for r in found), nulls > 0
 
 
 def _block_of(bounds: list[int]) -> Column:

@@ -83,6 +83,15 @@ def narrowest_first(sightings: DataFrame, intervals: DataFrame, probe_id: str, i
     return _ranked(sightings, probe_id, intervals, [F.col("hi_hz") - F.col("lo_hz"), "lo_hz", "hi_hz", item], [item], n)
 
 
+def top_n(matches: DataFrame, probe_id: str, item: str, n: int = 32) -> DataFrame:
+    """The n narrowest matches of each probe. For one, a partial aggregate instead of a sort."""
+    if n > 1:
+        return rank(matches, probe_id, item).where(F.col("rank") <= n)
+    key = F.struct(F.col("hi_hz") - F.col("lo_hz"), "lo_hz", "hi_hz", item)
+    best = matches.groupBy(probe_id).agg(F.min_by(F.struct(*[c for c in matches.columns if c != probe_id]), key).alias("m"))
+    return best.select(probe_id, "m.*").withColumn("rank", F.lit(1))
+
+
 def narrowest_at(sightings: DataFrame, intervals: DataFrame, item: str) -> DataFrame:
     """L7 for one match, without the join: the columns of sightings (hz) and match, a struct of all
     columns of the narrowest interval (ties as in L6), null where none covers the point."""
@@ -157,23 +166,27 @@ def _rank_key(item: str, *shown: Column) -> Column:
     return F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), F.col("lo_hz").alias("lo"), F.col("hi_hz").alias("hi"), F.col(item).cast("string").alias("item"), *shown)
 
 
-def summary_segments(channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
-    """Disjoint segments with the tooltip text of every point in them: L14 moved to the static side."""
+def _summary_segments(channels: DataFrame, bands: DataFrame, services: DataFrame) -> tuple[DataFrame, int, int]:
+    """summary_segments(), their number and the highest edge."""
     us = bands.where(F.col("jurisdiction").startswith("us")).select("band_id", "lo_hz", "hi_hz")
     order = F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("width"), F.col("lo_hz").alias("lo"), F.col("hi_hz").alias("hi"), F.col("band_id").alias("item"))
-    tiles = least_in(cut(channels, us), channels, _rank_key("id", F.col("name").alias("name")), "channel")
-    tiles = least_in(tiles, us, order, "band").withColumn("band_id", F.col("band.item")).join(services_label(services), "band_id", "left")
+    tiles = cut(channels, us)
+    n, top = tiles.agg(F.count("*"), F.max("s_lo")).first()
+    found = least_in(tiles, channel=(channels, _rank_key("id", F.col("name").alias("name"))), band=(us, order))
+    found = found.withColumn("band_id", F.col("band.item")).join(services_label(services), "band_id", "left")
     text = F.coalesce("channel.name", F.when(F.col("label") != "", F.col("label")), F.lit(NO_RECORD))
-    return tiles.select("s_lo", "s_hi", text.alias("summary"))
+    return found.select("s_lo", "s_hi", text.alias("summary")), n, top
+
+
+def summary_segments(channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
+    """Disjoint segments with the tooltip text of every point in them: L14 moved to the static side."""
+    return _summary_segments(channels, bands, services)[0]
 
 
 def with_summaries(sightings: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame) -> DataFrame:
     """The columns of sightings, a stream or not, and each one's summary, by segments."""
-    n, top = 0, 0
-    for layer in (channels, bands):
-        count, edge = layer.agg(F.count("*"), F.coalesce(F.max("hi_hz"), F.lit(0))).first()
-        n, top = n + count, max(top, edge)
-    return segment_lookup(sightings, summary_segments(channels, bands, services), top, 2 * n + 1 <= MANY)
+    segments, n, top = _summary_segments(channels, bands, services)
+    return segment_lookup(sightings, segments, top, n <= MANY)
 
 
 def summary(sightings: DataFrame, channels: DataFrame, bands: DataFrame, services: DataFrame, how: str = "segments") -> DataFrame:

@@ -131,18 +131,17 @@ def cut(*layers: DataFrame) -> DataFrame:
     """Disjoint segments [s_lo, s_hi) that tile [0, 2^63 - 1), cut at all edges of the layers' intervals and _seg numbers them from 0."""
     edges = layers[0].sparkSession.range(1).select(F.lit(0).cast("long").alias("s_lo"))
     for layer in layers:
-        good = layer.where("lo_hz < hi_hz")
-        edges = edges.unionByName(good.select(F.col("lo_hz").alias("s_lo"))).unionByName(good.select(F.col("hi_hz").alias("s_lo")))
+        edges = edges.unionByName(layer.where("lo_hz < hi_hz").select(F.explode(F.array("lo_hz", "hi_hz")).alias("s_lo")))
     tiles = following(edges.where("s_lo >= 0").distinct(), "s_lo", "s_hi", "_seg")
     return tiles.withColumn("s_hi", F.coalesce("s_hi", F.lit(TOP)))
 
 
 def _runs(intervals: DataFrame, tiles: DataFrame) -> DataFrame:
-    """_no of each interval with the segments _from to below _to that it covers. Its edges are edges of the tiles; what lies below 0 is cut off."""
-    edges = tiles.select("s_lo", "_seg")
-    some = intervals.where("lo_hz < hi_hz and hi_hz > 0").select("_no", F.greatest("lo_hz", F.lit(0)).alias("lo_hz"), "hi_hz")
+    """The intervals, without their edges, and the segments _from to below _to that each covers. Its edges are edges of the tiles; what lies below 0 is cut off."""
+    edges, kept = tiles.select("s_lo", "_seg"), [c for c in intervals.columns if c not in ("lo_hz", "hi_hz")]
+    some = intervals.where("lo_hz < hi_hz and hi_hz > 0").select(*kept, F.greatest("lo_hz", F.lit(0)).alias("lo_hz"), "hi_hz")
     begun = some.join(edges.select(F.col("s_lo").alias("lo_hz"), F.col("_seg").alias("_from")), "lo_hz")
-    return begun.join(edges.select(F.col("s_lo").alias("hi_hz"), F.col("_seg").alias("_to")), "hi_hz").select("_no", "_from", "_to")
+    return begun.join(edges.select(F.col("s_lo").alias("hi_hz"), F.col("_seg").alias("_to")), "hi_hz").select(*kept, "_from", "_to")
 
 
 def canonical(runs: DataFrame, lo: str, hi: str, bits: int = 1, depth: int = 63) -> DataFrame:
@@ -169,8 +168,8 @@ def canonical(runs: DataFrame, lo: str, hi: str, bits: int = 1, depth: int = 63)
     return out.withColumn("_level", F.col("_n.level")).withColumn("_node", F.col("_n.node")).drop("_n")
 
 
-def _least_above(probe: DataFrame, key: str, nodes: DataFrame, top: int, least: int = 0) -> DataFrame:
-    """(key, _no): the least _no of the binary nodes over each key. Keys lie between least and top.
+def _least_above(probe: DataFrame, key: str, nodes: DataFrame, top: int, least: int = 0, values: tuple[str, ...] = ("_no",)) -> DataFrame:
+    """key and values: the least of each value among the binary nodes over each key. Keys lie between least and top.
 
     Nodes of the upper levels, fewer than FEW a level, are broadcast, so that their keys don't
     meet in one task.
@@ -183,9 +182,9 @@ def _least_above(probe: DataFrame, key: str, nodes: DataFrame, top: int, least:
         if some:
             here = nodes.where(F.col("_level").isin(*some))
             looked = probe.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in some]))).withColumn("_node", _shift(F.col(key), F.col("_level")))
-            met = looked.join(F.broadcast(here) if some is wide else here, ["_level", "_node"]).select(key, "_no")
+            met = looked.join(F.broadcast(here) if some is wide else here, ["_level", "_node"]).select(key, *values)
             out = met if out is None else out.unionByName(met)
-    return out.groupBy(key).agg(F.min("_no").alias("_no"))
+    return out.groupBy(key).agg(*[F.min(v).alias(v) for v in values])
 
 
 def _least_nodes(runs: DataFrame, lo: str, hi: str, depth: int = 63) -> DataFrame:
@@ -205,17 +204,26 @@ def least_at(points: DataFrame, intervals: DataFrame, value: Column, name: str,
     return found.join(ranks.select("_no", name), "_no").select(hz, name)
 
 
-def least_in(tiles: DataFrame, intervals: DataFrame, value: Column, name: str) -> DataFrame:
-    """Adds to each segment the least value among the intervals that cover it, null if none does.
+def least_in(tiles: DataFrame, **layers: tuple[DataFrame, Column]) -> DataFrame:
+    """Adds to each segment, under the name of each layer, the least value among its intervals that cover it, null if none does.
 
-    tiles: of cut(), the intervals among its layers. Nodes are runs of segments, so their
-    levels follow from the number of segments, not from the hertz.
+    layers: intervals and a struct that orders them, rank first. tiles: of cut() on these
+    layers. Nodes are runs of segments, so their levels follow from the number of segments,
+    not from the hertz. All layers are numbered and looked up at once.
     """
-    ranks = numbered(intervals.where("lo_hz < hi_hz").select("lo_hz", "hi_hz", value.alias(name)), "_no", name)
+    every = None
+    for k, (name, (intervals, value)) in enumerate(layers.items()):
+        some = intervals.where("lo_hz < hi_hz").select("lo_hz", "hi_hz", F.lit(k).alias("_layer"), value.alias(name))
+        every = some if every is None else every.unionByName(some, allowMissingColumns=True)
+    ranks = numbered(every, "_no", "_layer", *layers)
     top = tiles.count()
-    nodes = _least_nodes(_runs(ranks, tiles), "_from", "_to", top.bit_length())
-    found = _least_above(tiles.select("_seg"), "_seg", nodes, top)
-    return tiles.join(found, "_seg", "left").join(ranks.select("_no", name), "_no", "left").drop("_no")
+    numbers = tuple(f"_n{k}" for k in range(len(layers)))
+    spread = canonical(_runs(ranks.select("lo_hz", "hi_hz", "_layer", "_no"), tiles), "_from", "_to", depth=top.bit_length())
+    nodes = spread.groupBy("_level", "_node").agg(*[F.min(F.when(F.col("_layer") == k, F.col("_no"))).alias(n) for k, n in enumerate(numbers)])
+    out = tiles.join(_least_above(tiles.select("_seg"), "_seg", nodes, top, values=numbers), "_seg", "left")
+    for name, n in zip(layers, numbers, strict=True):
+        out = out.join(ranks.select(F.col("_no").alias(n), name), n, "left").drop(n)
+    return out
 
 
 #: Binary digits of a segment's number that one level of the list tree takes.
@@ -235,7 +243,7 @@ def ranked_at(points: DataFrame, intervals: DataFrame, order: list[str | Column]
     tiles = cut(good)
     n_segs = tiles.count()
     depth = max(0, -(-n_segs.bit_length() // LIST_BITS) - 1)
-    listed = canonical(_runs(ranks, tiles), "_from", "_to", LIST_BITS, depth).join(ranks.select("_no", "_shown"), "_no")
+    listed = canonical(_runs(ranks.select("lo_hz", "hi_hz", "_no"), tiles), "_from", "_to", LIST_BITS, depth).join(ranks.select("_no", "_shown"), "_no")
     lists = listed.groupBy("_level", "_node").agg(F.array_sort(F.collect_list(F.struct("_no", "_shown"))).alias("_list"))
     if n is not None:
         lists = lists.withColumn("_list", F.slice("_list", 1, n))

@@ -88,7 +88,7 @@ def scan(
     same = F.col("_part") == F.col("_p")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    out = inside.join(carried, same)
+    out = inside.join(carried if by else F.broadcast(carried), same)  # without groups it is a row a partition
     none = F.lit(0)
     return out.select(
         *df.columns, *[(F.coalesce(f"_i_{n}", none) + F.coalesce(f"_c_{n}", none)).alias(n) for n in sums],

@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .packing import REMEMBERED
 
 #: Bytes of text that are aligned at once, and bytes of a block; a longer text is cut where both tokenizers have an edge.
 AT_ONCE = 1 << 20
 BLOCK = 1 << 23
+#: Words remembered before a reader begins anew; those of the round before are still looked up.
+REMEMBERED = 1 << 16
 #: An edge of both: no token of either joins a letter or digit with a space after it.
 _CUT = re.compile(r"(?<=[^\W_]) ")
 _PART = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")

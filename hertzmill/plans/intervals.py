@@ -200,7 +200,7 @@ def least_at(points: DataFrame, intervals: DataFrame, value: Column, name: str,
     ranks = numbered(intervals.where("lo_hz < hi_hz").select("lo_hz", "hi_hz", value.alias(name)), "_no", name)
     least, top = ranks.agg(F.coalesce(F.min("lo_hz"), F.lit(0)), F.coalesce(F.max("hi_hz"), F.lit(0))).first()
     probe = points.select(hz).where(F.col(hz).isNotNull()).distinct()
-    found = _least_above(probe, hz, _least_nodes(ranks.select("_no", "lo_hz", "hi_hz"), "lo_hz", "hi_hz"), top, least)
+    found = _least_above(probe, hz, _least_nodes(ranks.select("_no", "lo_hz", "hi_hz"), "lo_hz", "hi_hz", max(top, -least).bit_length()), top, least)
     return found.join(ranks.select("_no", name), "_no").select(hz, name)
 
 

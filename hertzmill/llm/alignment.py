@@ -32,7 +32,7 @@ from .common import materialize
 AT_ONCE = 1 << 20
 BLOCK = 1 << 23
 #: Words remembered before a reader begins anew; those of the round before are still looked up.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 17
 #: An edge of both: no token of either joins a letter or digit with a space after it.
 _CUT = re.compile(r"(?<=[^\W_]) ")
 _PART = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")

@@ -370,6 +370,18 @@ def _anchors(part: pa.Table) -> Iterator[np.ndarray]:
             yield own[np.argsort(own[:, 0], kind="stable")]
 
 
+def _cuts(part: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The source's shingles of each row, one cut after the other, and the place of each in the source."""
+    for starts, cuts in zip(part["starts"].chunks, part["cuts"].chunks, strict=True):
+        first, flat, rows = starts.flatten().to_numpy(), cuts.flatten(), cuts.offsets.to_numpy()
+        _, ends, data = flat.buffers()
+        ends = np.frombuffer(ends, np.int32)[flat.offset : flat.offset + len(flat) + 1].astype(np.int64) // 4 if len(flat) else np.zeros(1, np.int64)
+        whole = np.frombuffer(data, np.uint32, ends[-1]) if ends[-1] else np.empty(0, np.uint32)
+        place = np.repeat(first - ends[:-1], np.diff(ends)) + np.arange(ends[0], ends[-1])
+        for x, y in zip(ends[rows[:-1] - rows[0]].tolist(), ends[rows[1:] - rows[0]].tolist(), strict=True):
+            yield whole[x:y], place[x - ends[0] : y - ends[0]]
+
+
 def _texts(run: pa.Table) -> list[str]:
     """Distinct texts of a run; rows that repeat an id may have several."""
     return pa.compute.unique(run["text"].drop_null()).to_pylist()
@@ -404,31 +416,46 @@ def _with_cuts(docs: list, srcs: list, anchors: pa.ChunkedArray, starts: list, c
     )
 
 
+def _distinct(x: np.ndarray) -> int:
+    """How many different values there are; sorting is quicker than np.unique for a few hundred."""
+    x = np.sort(x)
+    return int(np.count_nonzero(x[1:] != x[:-1])) + (len(x) > 0)
+
+
+def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Places of x whose values are in a sorted array."""
+    if not len(ordered):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x)
+
+
 def _similarity(m: np.ndarray, s: np.ndarray) -> float:
     """Jaccard similarity of two sequences as sets."""
-    if np.array_equal(m, s):
+    if len(m) == len(s) and (m == s).all():
         return 1.0
-    x, y = np.unique(m), np.unique(s)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both)
+    either = _distinct(np.concatenate([m, s]))
+    return (_distinct(m) + _distinct(s) - either) / either
 
 
 def _stretches(at: np.ndarray, places: np.ndarray, gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hits at ascending places, parted where places jump by more than gap: label of each hit, first and last index by label."""
-    cuts = np.flatnonzero(np.diff(places) > gap) + 1
+    apart = places[1:] - places[:-1] > gap
     label = np.zeros(len(at), np.int64)
-    label[cuts] = 1
-    return np.cumsum(label), at[np.r_[0, cuts]], at[np.r_[cuts, len(at)] - 1]
+    np.cumsum(apart, out=label[1:])
+    cuts = np.flatnonzero(apart)
+    return label, at[np.concatenate([[0], cuts + 1])], at[np.concatenate([cuts, [len(at) - 1]])]
 
 
-def _verify(m: np.ndarray, c: np.ndarray, s: np.ndarray, place: np.ndarray, i: np.ndarray, width: int, percent: int) -> list[tuple]:
+def _verify(m: np.ndarray, ordered: np.ndarray, c: np.ndarray, s: np.ndarray, place: np.ndarray, i: np.ndarray, width: int, percent: int) -> list[tuple]:
     """Pairs of stretches that hold a shared shingle and are long and similar enough.
 
-    m, s: shingles of both texts; place: where each of s stands in its text; c, i: the
-    shared shingles' indexes in m and s. A stretch is a run of shingles that the other
+    m, s: shingles of both texts; ordered: m, sorted; place: where each of s stands in its text;
+    c, i: the shared shingles' indexes in m and s. A stretch is a run of shingles that the other
     side has too, over gaps of a few. Gives (first, last) in m, in the source, similarity.
     """
-    at_m, at_s = np.flatnonzero(np.isin(m, s)), np.flatnonzero(np.isin(s, m))
+    if not len(c):
+        return []
+    at_m, at_s = _among(m, np.sort(s)), _among(s, ordered)
     out = []
     for gap in GAPS:
         if not len(c):
@@ -438,7 +465,7 @@ def _verify(m: np.ndarray, c: np.ndarray, s: np.ndarray, place: np.ndarray, i: n
         x, y = of_m[np.searchsorted(at_m, c)], of_s[np.searchsorted(at_s, i)]
         both = x * len(first_s) + y
         settled = np.zeros(len(c), bool)
-        for pair in np.unique(both).tolist():
+        for pair in sorted(set(both.tolist())):
             k, j = divmod(pair, len(first_s))
             a, b, p, q = int(first_m[k]), int(last_m[k]), int(first_s[j]), int(last_s[j])
             if min(b - a, q - p) + 1 < width:
@@ -463,7 +490,10 @@ def _verify_near(m: np.ndarray, at_m: np.ndarray, c: np.ndarray, s: np.ndarray,
     of_s, first_s, last_s = _stretches(at_s, place[at_s], GAPS[0])
     x, y = of_m[np.searchsorted(at_m, c)], of_s[np.searchsorted(at_s, i)]
     long = np.flatnonzero((last_m[x] - first_m[x] + 1 >= width) & (last_s[y] - first_s[y] + 1 >= width))
-    _, one = np.unique(np.stack([(place[i[long]] - c[long]) // (2 * SHINGLE), c[long] // (width // 2)]), axis=1, return_index=True)
+    off, half = (place[i[long]] - c[long]) // (2 * SHINGLE), c[long] // (width // 2)
+    order = np.lexsort((half, off))
+    off, half = off[order], half[order]
+    one = order[np.concatenate([[True], (off[1:] != off[:-1]) | (half[1:] != half[:-1])])[: len(order)]]
     shared = np.zeros(len(m) + 1, np.int64)
     shared[at_m + 1] = 1
     shared = np.cumsum(shared)
@@ -484,7 +514,7 @@ def _verify_near(m: np.ndarray, at_m: np.ndarray, c: np.ndarray, s: np.ndarray,
             continue
         for back in range(width - 1, -1, -max(1, width // 6)):
             a, p, n = int(c[k]) - back, int(i[k]) - back, width
-            if a < 0 or p < 0 or a + n > len(m) or shared[a + n] - shared[a] < least and len(np.unique(m[a : a + n])) == n:
+            if a < 0 or p < 0 or a + n > len(m) or shared[a + n] - shared[a] < least and _distinct(m[a : a + n]) == n:
                 continue
             found = 0.0
             while a + n <= len(m) and p + n <= len(s) and place[p + n - 1] - place[p] == n - 1 and 100 * (share := _similarity(m[a : a + n], s[p : p + n])) >= percent:
@@ -506,17 +536,17 @@ def _verified(width: int, percent: int):
             if not len(pairs):
                 continue
             doc = pairs["doc"][0].as_py()
+            sources = list(zip(pairs["src"].to_pylist(), _anchors(pairs), _cuts(pairs), strict=True))
             for text in texts:
                 whole = _shingles_of(pa.array([text]))
-                for src, own, starts, cuts in zip(pairs["src"].to_pylist(), _anchors(pairs), pairs["starts"].to_pylist(), pairs["cuts"].to_pylist(), strict=True):
-                    pieces = [np.frombuffer(x, np.uint32) for x in cuts]
-                    s, place = np.concatenate(pieces), np.concatenate([at + np.arange(len(x)) for at, x in zip(starts, pieces, strict=True)])
+                ordered = np.sort(whole)
+                for src, own, (s, place) in sources:
                     c, sc = own[:, 0] >> 20, own[:, 1] >> 20
                     i = np.minimum(np.searchsorted(place, sc), len(place) - 1)
                     good = (c < len(whole)) & (len(place) > 0)
                     c, i, sc = c[good], i[good], sc[good]
                     good = (place[i] == sc) & (whole[c] == s[i])  # rows that repeat an id may have another text
-                    for a, b, p, q, share in _verify(whole, c[good], s, place, i[good], width, percent):
+                    for a, b, p, q, share in _verify(whole, ordered, c[good], s, place, i[good], width, percent):
                         out.append((doc, a, b + SHINGLE, src, p, q + SHINGLE, share))
             if out:
                 cols = list(zip(*out, strict=True))
@@ -547,9 +577,9 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, percent:
     # a word of a passage lies in windows of several functions: enough of them must agree on the pair, or most of a passage around one
     anchors = met.groupBy("doc", "src").agg(F.collect_list(F.struct("a", "b")).alias("anchors"), F.max("sure").alias("sure"))
     enough = F.size(F.array_distinct(F.transform("anchors", lambda x: x["a"].bitwiseAND(15)))) >= least_hashes
-    pairs = materialize(anchors.where(enough | F.col("sure")).drop("sure"), "passage_pairs")
+    pairs = materialize(anchors.where(enough | F.col("sure")).drop("sure"), "passage_pairs", free=True)
     # a source of many pairs is dealt to several keys, each with a copy of its text; such sources are few
-    sources = materialize(pairs.groupBy("src").agg(F.ceil(F.count("*") / MOST_PAIRS).cast("int").alias("deals")), "sources")
+    sources = materialize(pairs.groupBy("src").agg(F.ceil(F.count("*") / MOST_PAIRS).cast("int").alias("deals")), "sources", free=True)
     hot = sources.where("deals > 1")
     keyed = pairs.join(hot, "src", "left").select(F.xxhash64("src", F.pmod(F.xxhash64("doc", F.lit(17)), F.coalesce("deals", F.lit(1)))).alias("key"), "doc", "src", "anchors")
     texts = likely_in(docs, "doc_id", sources, "src").withColumnRenamed("doc_id", "src").join(hot, "src", "left")
@@ -558,7 +588,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, percent:
     cut = both.repartition("key").sortWithinPartitions("key").mapInArrow(
         _cut_sources, "doc long, src long, anchors array<struct<a:long,b:long>>, starts array<long>, cuts array<binary>"
     )
-    members = materialize(pairs.select("doc").distinct(), "members")
+    members = materialize(pairs.select("doc").distinct(), "members", free=True)
     texts = likely_in(docs, "doc_id", members, "doc").select(F.col("doc_id").alias("key"), "text")
     both = cut.withColumn("key", F.col("doc")).withColumn("text", F.lit(None).cast("string")).unionByName(texts, allowMissingColumns=True)
     return both.repartition("key").sortWithinPartitions("key").mapInArrow(

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hertzmill.llm import jaccard, language, mixing, packing, passages, quality
+from hertzmill.llm import common, jaccard, language, mixing, packing, passages, quality
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -363,6 +363,44 @@ def test_reserved_names_do_not_clash(spark):
     assert packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json")).count() >= 6
 
 
+def test_shuffles_go_when_their_stage_is_done(spark, docs, monkeypatch):
+    """Windows and pairs aren't on disk any more while texts are compared; the session's setting stays as it was."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    write, setting, held = passages.materialize, common.DELETE_SHUFFLES, []
+
+    def shuffles():
+        names = (blocks.getAllFiles().apply(i).getName() for i in range(blocks.getAllFiles().size()))
+        return {x for x in names if x.startswith("shuffle_")}
+
+    def watched(df, name, **options):
+        before = shuffles()
+        out = write(df, name, **options)
+        held.append((name, len(shuffles() - before)))
+        return out
+
+    monkeypatch.setattr(passages, "materialize", watched)
+    for value in (None, "false"):
+        spark.conf.set(setting, value) if value else spark.conf.unset(setting)
+        default = spark.conf.get(setting, None)
+        assert passages.repeated_passages(docs).count() > 10
+        assert spark.conf.get(setting, None) == default
+    spark.conf.unset(setting)
+    assert held == [(x, 0) for x in ("passage_pairs", "sources", "members")] * 2
+
+
+def test_cuts_are_read_as_they_were_sent():
+    """Of chunks and slices, rows without a cut and cuts without a shingle."""
+    starts, sizes = [[3], [], [0, 9, 40], [7], [5, 5]], [[4], [], [2, 0, 3], [0], [1, 6]]
+    cuts = [[np.arange(n, dtype=np.uint32) + 10 * i for n in row] for i, row in enumerate(sizes)]
+    columns = [pa.array(starts, pa.list_(pa.int64())), pa.array([[x.tobytes() for x in row] for row in cuts], pa.list_(pa.binary()))]
+    batch = pa.RecordBatch.from_arrays(columns, ["starts", "cuts"])
+    table = pa.Table.from_batches([batch.slice(1, 2), batch.slice(0, 1), batch.slice(2, 3), batch.slice(3, 0)])
+    got = list(passages._cuts(table))
+    for (s, place), row in zip(got, [1, 2, 0, 2, 3, 4], strict=True):
+        assert s.tolist() == [v for x in cuts[row] for v in x.tolist()]
+        assert place.tolist() == [at + k for at, x in zip(starts[row], cuts[row], strict=True) for k in range(len(x))]
+
+
 # ----------------------------------------------------------------------------- packing
 def test_packing(spark, docs):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))

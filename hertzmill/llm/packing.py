@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .alignment import ByteLevel
 from .common import materialize, runs
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, open boolean"
@@ -30,6 +31,8 @@ _ARROW = pa.schema([(x.split()[0], pa.bool_() if x.endswith("boolean") else pa.i
 FAN_IN = 64
 #: Words whose ids an encoder remembers before it begins anew; those of the round before are still looked up.
 REMEMBERED = 1 << 18
+#: Characters that are given to tiktoken at once; a longer text goes by words.
+AT_ONCE = 1 << 17
 _PART = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 _OTHER_SPACE = re.compile(r"[^\S \n\t\r]")
 _encoders: dict = {}
@@ -38,9 +41,12 @@ _encoders: dict = {}
 class Encoder:
     """Ids of texts by a tokenizer file, as little-endian 32-bit integers.
 
-    Byte-level BPE never joins a character other than white space with white space after
-    it, so a text is the sequence of its words, each with the white space before it. Ids of
-    short ones are remembered. Texts with rarer white space are encoded as a whole.
+    Where the file is plain enough (ByteLevel), texts of the characters up to U+017F, which
+    all versions of Unicode class alike, are encoded by tiktoken from the same vocabulary if
+    they hold no special token. Other texts go by words: byte-level BPE never joins a character
+    other than white space with white space after it, so a text is the sequence of its words,
+    each with the white space before it. Ids of short ones are remembered, as a worker sees
+    them again. Texts with rarer white space are encoded as a whole by tokenizers.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,14 +54,26 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core's work
         self.model, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        self.fast = ByteLevel(path).fast
+        added = (re.escape(x.content) for x in self.model.get_added_tokens_decoder().values())
+        self.other = re.compile("|".join(["[^\\x00-\\u017f]", *added]))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        """Texts or words without rarer white space."""
+        fast, other = self.fast, self.other.search
+        found = [fast(x) if fast and len(x) <= AT_ONCE and not other(x) else None for x in texts]
+        rest = [k for k, x in enumerate(found) if x is None]
+        for k, x in zip(rest, self.model.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False) if rest else [], strict=True):
+            found[k] = x.ids
         return [struct.pack(f"<{len(x)}I", *x) for x in found]
 
     def ids(self, text: str) -> bytes:
         if _OTHER_SPACE.search(text):
-            return self._encode([text])[0]
+            found = self.model.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(found)}I", *found)
+        if self.fast and len(text) <= AT_ONCE and not self.other.search(text):
+            found = self.fast(text)
+            return struct.pack(f"<{len(found)}I", *found)
         parts = _PART.findall(text)
         new = set(parts).difference(self.known)
         if not new:

@@ -441,6 +441,24 @@ def test_ids_equal_the_tokenizer(texts, monkeypatch):
         assert len(own.known) <= remembered and max(map(len, own.known), default=0) <= 64
 
 
+def test_ids_of_plain_texts_come_whole(monkeypatch):
+    """Texts up to U+017F without a special token take no detour by words; all others agree with the tokenizer too."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, own, rnd = Tokenizer.from_file(path), packing.Encoder(path), random.Random(4)
+    plain = [chr(c) for c in range(0x180) if not chr(c).isspace()] + [" ", "  ", "\n", "\t", "\r\n", "'s", "'LL", "été", "12"] * 20
+    made = ["".join(rnd.choice(plain) for _ in range(rnd.randint(0, 60))) for _ in range(3000)] + [a + b + " " + b + a for a in plain[:379] for b in "a1!é "]
+    long = [x * 5000 for x in ("x", " ", " \n", "é1", "ab ", "!? x")]
+    other = ["<|endoftext|>", "a<|endoftext|>b é", "ж é", "a\xa0b", "e\u0301 \u0180", "<|endoftext|", "x" * 300 + "<|endoftext|>"]
+    for at_once in (packing.AT_ONCE, 40):
+        monkeypatch.setattr(packing, "AT_ONCE", at_once)
+        for t in [*made, *long]:
+            assert np.frombuffer(own.ids(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+        assert bool(own.known) == (at_once == 40)
+        for t in other:
+            assert np.frombuffer(own.ids(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+        own.known, own.older = {}, {}
+
+
 def test_packing_rounds_and_empty(spark, empty):
     docs = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 37 + 1).cast("int")).alias("text")).repartition(70)
     rows = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=64, most_open=2).collect()

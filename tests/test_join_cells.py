@@ -124,3 +124,23 @@ def test_points_of_one_frequency_have_one_answer(spark, sf_dir):
     joined = [x for x in plan_of(met).split("\n") if "SortMergeJoin" in x and "[hz" in x]
     assert joined and met.count() == probes.count()
     assert met.where("sighting_id = -1").first()["channels"] == ""
+
+
+def test_equal_intervals_are_ranked_once(spark):
+    """Of intervals with equal edges the least is kept before they are numbered and spread over nodes."""
+    ivs = spark.range(300).select(F.format_string("c%03d", "id").alias("id"), F.lit(100).cast("long").alias("lo_hz"), (F.lit(200) + F.col("id") % 2).alias("hi_hz"))
+    pts = spark.createDataFrame([(1, 150), (2, 200), (3, 99)], "sighting_id long, hz long")
+    value = F.struct((F.col("hi_hz") - F.col("lo_hz")).alias("w"), "id")
+    assert sorted(r["m"]["id"] for r in K._least_of_equal(ivs, value, "m").collect()) == ["c000", "c001"]
+    assert {r["hz"]: r["m"]["id"] for r in K.least_at(pts, ivs, value, "m").collect()} == {150: "c000", 200: "c001"}
+
+
+def test_crowded_tiles_have_cells_of_their_own(spark):
+    """One far edge doesn't put all tiles below it into a few cells."""
+    edges = [*range(0, 400_000, 100), 1 << 55]
+    tiles = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(edges, [*edges[1:], K.TOP]))], "seg long, s_lo long, s_hi long")
+    cell = K.lookup_cell(tiles, 1 << 55, False)
+    assert tiles.groupBy(cell(F.col("s_lo")).alias("c")).count().agg(F.max("count")).first()[0] <= 3
+    pts = spark.range(2000).select(F.col("id").alias("sighting_id"), (F.col("id") * 211 - 3).alias("hz"))
+    got = {r["sighting_id"]: r["seg"] for r in K.segment_lookup(pts, tiles, 1 << 55, False).collect()}
+    assert got == {i: (i * 211 - 3) // 100 if 0 <= i * 211 - 3 < 400_000 else 4000 if i == 0 else 3999 for i in range(2000)}

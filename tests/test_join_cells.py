@@ -144,3 +144,11 @@ def test_crowded_tiles_have_cells_of_their_own(spark):
     pts = spark.range(2000).select(F.col("id").alias("sighting_id"), (F.col("id") * 211 - 3).alias("hz"))
     got = {r["sighting_id"]: r["seg"] for r in K.segment_lookup(pts, tiles, 1 << 55, False).collect()}
     assert got == {i: (i * 211 - 3) // 100 if 0 <= i * 211 - 3 < 400_000 else 4000 if i == 0 else 3999 for i in range(2000)}
+
+
+def test_spans_by_cells(odd):
+    """L3: also where an interval begins in the span."""
+    rows, _, spans, ivs, _, sps = odd
+    want = sorted((p, i) for p, a, b in spans if a is not None and a < b for i, lo, hi in rows if lo < hi and lo < b and hi > a)
+    assert sorted((r["span_id"], r["id"]) for r in K.span_join(sps, ivs, "cells").collect()) == want
+    assert K.cells_of(sps, "p_lo", ivs, "lo_hz", "hi_hz", 0, must=True).copies(ivs, "lo_hz", "hi_hz").count() <= 2 * (len(spans) + len(rows))
